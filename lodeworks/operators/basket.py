@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.operators.skew import BLOCK_ROWS, broadcast_if_small, is_small, pairs_within
+from lodeworks.operators.skew import BLOCK_ROWS, GroupSizes, broadcast_if_small, group_sizes, is_small, pairs_within
 
 COUNT_MODES = ("basket", "occurrence")
 
@@ -60,15 +62,17 @@ def _recode(sets: DataFrame, codes: DataFrame, columns: list[str], source: str,
     return sets.select(*columns, *[c for c in sets.columns if c not in columns])
 
 
-def _coded_pairs(kept: DataFrame, min_support: int, count: str, block_rows: int) -> DataFrame:
+def _coded_pairs(
+    kept: DataFrame, sizes: GroupSizes, min_support: int, count: str, block_rows: int
+) -> DataFrame:
     if count == "basket":
-        found = pairs_within(kept, ["basket_id"], "code", block_rows=block_rows, repeats=True)
+        found = pairs_within(kept, ["basket_id"], "code", sizes, block_rows=block_rows, repeats=True)
         totals = found.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
     else:
         # x copies of a and y copies of b make x*y pairs; c copies of one item
         # make c*(c-1)/2 pairs with itself.
         counted = _entries(kept, "basket_id", "code", count)
-        found = pairs_within(counted, ["basket_id"], "item", carry="c", block_rows=block_rows)
+        found = pairs_within(counted, ["basket_id"], "item", sizes, carry="c", block_rows=block_rows)
         across = found.select("a", "b", (F.col("wa") * F.col("wb")).alias("k"))
         itself = counted.where(F.col("c") > 1).select(
             F.col("item").alias("a"),
@@ -96,10 +100,20 @@ def frequent_pairs(
     if items is None:
         items = frequent_items(baskets, min_support, count, basket, item)
     codes = _codes(items)
-    pairs = _coded_pairs(_kept(baskets, codes, basket, item), min_support, count, block_rows)
+    kept = _kept(baskets, codes, basket, item)
+    sizes = group_sizes(kept, ["basket_id"], block_rows)
+    pairs = _coded_pairs(kept, sizes, min_support, count, block_rows)
     return _recode(pairs, codes, ["a", "b"], "code", "item")
 
 
+def _stem_sizes(stems: DataFrame, stem: list[str], baskets: GroupSizes, block_rows: int) -> GroupSizes:
+    """Sizes of the (basket, stem) groups. Hot ones lie in hot baskets, so often there can be none."""
+    if baskets.hot is None:
+        return baskets
+    within = stems.join(F.broadcast(baskets.hot.select("basket_id")), "basket_id", "left_semi")
+    return replace(group_sizes(within, ["basket_id", *stem], block_rows), pairs=baskets.pairs)
+
+
 def frequent_triples(
     baskets: DataFrame,
     min_support: int,
@@ -119,17 +133,19 @@ def frequent_triples(
         items = frequent_items(baskets, min_support, count, basket, item)
     codes = _codes(items)
     kept = _kept(baskets, codes, basket, item)
+    sizes = group_sizes(kept, ["basket_id"], block_rows)
     if pairs is None:
-        known = _coded_pairs(kept, min_support, count, block_rows)
+        known = _coded_pairs(kept, sizes, min_support, count, block_rows)
     else:
         known = _recode(pairs, codes, ["a", "b"], "item", "code")
     known = broadcast_if_small(known.select("a", "b"))
-    held = pairs_within(kept, ["basket_id"], "code", block_rows=block_rows, repeats=True).join(
+    held = pairs_within(kept, ["basket_id"], "code", sizes, block_rows=block_rows, repeats=True).join(
         known, ["a", "b"], "left_semi"
     )
     # Two pairs with the same first item make a triple if the third is frequent.
+    stems = held.withColumnRenamed("a", "first")
     grown = pairs_within(
-        held.withColumnRenamed("a", "first"), ["basket_id", "first"], "b", block_rows=block_rows
+        stems, ["basket_id", "first"], "b", _stem_sizes(stems, ["first"], sizes, block_rows), block_rows=block_rows
     ).join(known, ["a", "b"], "left_semi")
     totals = grown.groupBy(
         F.col("first").alias("a"), F.col("a").alias("b"), F.col("b").alias("c")
@@ -154,12 +170,14 @@ def frequent_itemsets(
     codes = _codes(singles)
     found = singles.select(F.array("a").alias("items"), "n")
     held = _kept(baskets, codes, basket, item).withColumnRenamed("code", "i1")
+    sizes = group_sizes(held, ["basket_id"], block_rows)
     level: DataFrame | None = None
     for k in range(2, max_k + 1):
         stem = [f"i{j}" for j in range(1, k - 1)]
         names = [f"i{j}" for j in range(1, k + 1)]
+        here = sizes if k == 2 else _stem_sizes(held, stem, sizes, block_rows)
         grown = pairs_within(
-            held, ["basket_id", *stem], f"i{k - 1}", block_rows=block_rows, repeats=k == 2
+            held, ["basket_id", *stem], f"i{k - 1}", here, block_rows=block_rows, repeats=k == 2
         ).select("basket_id", *stem, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}"))
         # The two parents lack one of the last two items; check the others.
         for gone in range(k - 2):

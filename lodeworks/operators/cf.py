@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.operators.skew import BLOCK_ROWS, pairs_within
+from lodeworks.operators.skew import BLOCK_ROWS, group_sizes, pairs_within, partitioned
 
 SCORE_DIGITS = 9
 
+# Up to this many members (32 MB of doubles squared) a task holds a whole
+# members x members table; DENSE_ROWS rows are worked on at a time.
+MAX_DENSE = 2000
+DENSE_ROWS = 1024
+
 
 def _cells(seen: DataFrame) -> DataFrame:
     """`user, item, r` without zero cells."""
@@ -27,12 +34,77 @@ def item_degree(seen: DataFrame) -> DataFrame:
     return _cells(seen).groupBy("item").agg(F.sum("r").alias("d"))
 
 
-def _products(cells: DataFrame, shared: list[str], member: str, weight: Column, block_rows: int) -> DataFrame:
-    """`a, b, s` for a <= b: sum over shared keys of r_a * r_b * weight."""
-    pairs = pairs_within(cells, shared, member, carry="r", block_rows=block_rows)
-    across = pairs.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb") * weight).alias("s"))
-    itself = cells.groupBy(F.col(member).alias("a")).agg(F.sum(F.col("r") * F.col("r") * weight).alias("s"))
-    return across.unionByName(itself.select("a", F.col("a").alias("b"), "s"))
+def _few(cells: DataFrame, member: str) -> np.ndarray | None:
+    """The sorted members if there are at most MAX_DENSE, else None."""
+    found = cells.select(member).distinct().limit(MAX_DENSE + 1).collect()
+    return np.array(sorted(r[0] for r in found)) if len(found) <= MAX_DENSE else None
+
+
+def _rows_of(cells: DataFrame, shared: str, member: str, results: float) -> DataFrame:
+    """`<shared>, cells ARRAY<STRUCT<m, r>>`: one row per shared id, no longer than the members."""
+    entry = F.struct(F.col(member).cast("bigint").alias("m"), F.col("r"))
+    return partitioned(cells, [shared], results).groupBy(shared).agg(F.collect_list(entry).alias("cells"))
+
+
+def _dense(batch: pa.RecordBatch, members: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a batch as (rows, members), and 1 or 1 / sqrt(row sum) per row."""
+    lists = batch.column(1)
+    flat = lists.flatten()
+    lengths = np.diff(lists.offsets.to_numpy())
+    block = np.zeros((batch.num_rows, len(members)))
+    at = np.searchsorted(members, flat.field(0).to_numpy(zero_copy_only=False))
+    block[np.repeat(np.arange(batch.num_rows), lengths), at] = flat.field(1).to_numpy(zero_copy_only=False)
+    return block, 1 / np.sqrt(block.sum(axis=1)) if weighted else np.ones(batch.num_rows)
+
+
+def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, DENSE_ROWS):
+            yield batch.slice(start, DENSE_ROWS)
+
+
+def _dense_products(rows: DataFrame, members: np.ndarray, weighted: bool) -> DataFrame:
+    """`a, b, s` for a <= b, added up inside each task before the shuffle."""
+
+    def partial(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(members), len(members)))
+        for batch in _slices(batches):
+            block, weight = _dense(batch, members, weighted)
+            total += block.T @ (block * weight[:, None])
+        a, b = np.nonzero(np.triu(total))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(members[a]), pa.array(members[b]), pa.array(total[a, b])], names=["a", "b", "s"]
+        )
+
+    return (
+        rows.mapInArrow(partial, "a bigint, b bigint, s double").groupBy("a", "b").agg(F.sum("s").alias("s"))
+    )
+
+
+def _products(cells: DataFrame, shared: str, member: str, weighted: bool, block_rows: int) -> DataFrame:
+    """`a, b, s` for a <= b: sum over shared ids of r_a * r_b, each over sqrt(sum of r) if `weighted`.
+
+    With few members every task adds up a members x members table of its own,
+    unless the pairs are fewer than such tables would have cells.
+    """
+    sizes = group_sizes(cells, [shared], block_rows)
+    members = _few(cells, member)
+    if members is not None and sizes.pairs > len(members) ** 2:
+        return _dense_products(_rows_of(cells, shared, member, 0), members, weighted)
+    weight = F.lit(1.0)
+    keys = [shared]
+    if weighted:
+        cells = cells.join(cells.groupBy(shared).agg(F.sum("r").alias("d")), shared)
+        weight = 1 / F.sqrt("d")
+        keys = [shared, "d"]
+        if sizes.hot is not None:
+            sizes = group_sizes(cells, keys, block_rows)
+    pairs = pairs_within(cells, keys, member, sizes, carry="r", block_rows=block_rows)
+    across = pairs.select("a", "b", (F.col("wa") * F.col("wb") * weight).alias("s"))
+    itself = cells.select(
+        F.col(member).alias("a"), F.col(member).alias("b"), (F.col("r") * F.col("r") * weight).alias("s")
+    )
+    return across.unionByName(itself).groupBy("a", "b").agg(F.sum("s").alias("s"))
 
 
 def _mirrored(pairs: DataFrame, value: str) -> DataFrame:
@@ -45,7 +117,7 @@ def _mirrored(pairs: DataFrame, value: str) -> DataFrame:
 
 def _similarity(cells: DataFrame, shared: str, member: str, mirror: bool, block_rows: int) -> DataFrame:
     degree = cells.groupBy(F.col(member).alias("m")).agg(F.sum("r").alias("d"))
-    products = _products(cells, [shared], member, F.lit(1.0), block_rows)
+    products = _products(cells, shared, member, False, block_rows)
     sim = (
         products.join(degree.select(F.col("m").alias("a"), F.col("d").alias("da")), "a")
         .join(degree.select(F.col("m").alias("b"), F.col("d").alias("db")), "b")
@@ -68,16 +140,48 @@ def user_similarity(seen: DataFrame, mirror: bool = True, block_rows: int = BLOC
     return sim.select(F.col("i").alias("u"), F.col("j").alias("v"), "sim")
 
 
-def _of_users(cells: DataFrame, users: Iterable[int] | None) -> DataFrame:
-    return cells if users is None else cells.where(F.col("user").isin([int(u) for u in users]))
+def _dense_scores(rows: DataFrame, members: np.ndarray, table: np.ndarray, weighted: bool) -> DataFrame:
+    """`user, item, score`: each row times the items x items table, inside the task."""
+
+    def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches):
+            block, weight = _dense(batch, members, weighted)
+            scores = (block * weight[:, None]) @ table
+            row, item = np.nonzero(scores)
+            users = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(users[row]), pa.array(members[item]), pa.array(scores[row, item])],
+                names=["user", "item", "score"],
+            )
+
+    return rows.mapInArrow(score, "user bigint, item bigint, score double")
 
 
-def _times_items(cells: DataFrame, weights: DataFrame, value: Column) -> DataFrame:
-    """`user, item, score`: rows of the cell table times an item x item table."""
+def _times_items(cells: DataFrame, weights: DataFrame, weighted: bool, users: Iterable[int] | None) -> DataFrame:
+    """`user, item, score`: rows of the cell table times `i, j, w`; zero scores are left out.
+
+    Up to MAX_DENSE items the table goes to every task. Beyond that the cells are
+    joined to it on the item, and the adaptive planner splits popular items.
+    """
+    members = _few(cells, "item")
+    cells = cells if users is None else cells.where(F.col("user").isin([int(u) for u in users]))
+    if members is not None:
+        found = weights.select("i", "j", "w").toArrow()
+        table = np.zeros((len(members), len(members)))
+        at = [np.searchsorted(members, found.column(c).to_numpy()) for c in ("i", "j")]
+        table[at[0], at[1]] = found.column("w").to_numpy()
+        n_users = cells.select("user").distinct().count()
+        rows = _rows_of(cells, "user", "item", float(n_users) * len(members))
+        return _dense_scores(rows.withColumn("user", F.col("user").cast("bigint")), members, table, weighted)
+    share = F.col("r")
+    if weighted:
+        cells = cells.join(cells.groupBy("user").agg(F.sum("r").alias("d")), "user")
+        share = F.col("r") / F.sqrt("d")
     return (
         cells.join(weights.withColumnRenamed("i", "item"), "item")
         .groupBy("user", F.col("j").alias("item"))
-        .agg(F.sum(value).alias("score"))
+        .agg(F.sum(share * F.col("w")).alias("score"))
+        .where(F.col("score") != 0)
     )
 
 
@@ -86,8 +190,8 @@ def cf_scores_item(
 ) -> DataFrame:
     """`user, item, score`: seen items weighted by item similarity."""
     cells = _cells(seen)
-    similar = _similarity(cells, "user", "item", True, block_rows)
-    return _times_items(_of_users(cells, users), similar, F.col("r") * F.col("sim"))
+    similar = _similarity(cells, "user", "item", True, block_rows).withColumnRenamed("sim", "w")
+    return _times_items(cells, similar, False, users)
 
 
 def cf_scores_user(
@@ -99,12 +203,10 @@ def cf_scores_user(
     table in the middle is items x items and never users x users.
     """
     cells = _cells(seen)
-    degree = cells.groupBy("user").agg(F.sum("r").alias("d"))
-    weighted = cells.join(degree, "user")
-    middle = _products(weighted, ["user", "d"], "item", 1 / F.sqrt("d"), block_rows).select(
+    middle = _products(cells, "user", "item", True, block_rows).select(
         F.col("a").alias("i"), F.col("b").alias("j"), F.col("s").alias("w")
     )
-    return _times_items(_of_users(weighted, users), _mirrored(middle, "w"), F.col("r") / F.sqrt("d") * F.col("w"))
+    return _times_items(cells, _mirrored(middle, "w"), True, users)
 
 
 def cf_top_n(
@@ -119,7 +221,7 @@ def cf_top_n(
     Scores are rounded before ranking. `item_filter` limits the items, and items
     in `seen` are left out when it is given.
     """
-    kept = _of_users(scores, users)
+    kept = scores if users is None else scores.where(F.col("user").isin([int(u) for u in users]))
     if item_filter is not None:
         kept = kept.where(item_filter)
     if seen is not None:

@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.operators.skew import BLOCK_ROWS, pairs_within
+from lodeworks.operators.skew import BLOCK_ROWS, group_sizes, pairs_within
 
 
 def _adjacency(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -21,7 +21,9 @@ def mutual_friend_counts(
     edges: DataFrame, src: str = "src", dst: str = "dst", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """`u, v, n`: for u < v, the number of vertices whose list holds both."""
-    wedges = pairs_within(_adjacency(edges, src, dst), ["src"], "dst", block_rows=block_rows, repeats=True)
+    lists = _adjacency(edges, src, dst)
+    sizes = group_sizes(lists, ["src"], block_rows)
+    wedges = pairs_within(lists, ["src"], "dst", sizes, block_rows=block_rows, repeats=True)
     return wedges.groupBy(F.col("a").alias("u"), F.col("b").alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 

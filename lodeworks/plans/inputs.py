@@ -1,11 +1,15 @@
-"""Operator inputs derived from the shared test tables."""
+"""Operator inputs derived from the shared test tables.
+
+An operator reads its input several times, so inputs that take a join or a
+shuffle to derive are kept, as a stored table would be.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.operators.skew import pairs_within
+from lodeworks.operators.skew import group_sizes, pairs_within
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,7 +23,8 @@ def friend_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
         .where(F.col("l_returnflag") == "R")
         .select("l_orderkey", "l_partkey")
     )
-    met = pairs_within(returned, ["l_orderkey"], "l_partkey", repeats=True).select("a", "b").distinct()
+    sizes = group_sizes(returned, ["l_orderkey"])
+    met = pairs_within(returned, ["l_orderkey"], "l_partkey", sizes, repeats=True).select("a", "b").distinct()
     return met.select(
         F.explode(
             F.array(
@@ -27,7 +32,7 @@ def friend_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
                 F.struct(F.col("b").alias("src"), F.col("a").alias("dst")),
             )
         ).alias("e")
-    ).select("e.*")
+    ).select("e.*").persist()
 
 
 def people(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,7 +46,7 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
         F.col("l_orderkey").alias("basket_id"),
         F.explode(F.array("p_brand", "p_type", "p_name")).alias("item"),
-    )
+    ).persist()
 
 
 def support_of(rows: DataFrame, share: float, basket: str = "basket_id") -> int:
@@ -65,6 +70,7 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
         .groupBy(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
         .agg(F.ceil(F.avg("l_quantity") / 10).cast("double").alias("rating"))
+        .persist()
     )
 
 
@@ -77,4 +83,5 @@ def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select(F.col("o_custkey").alias("user"), F.col("l_suppkey").alias("item"))
         .distinct()
         .withColumn("r", F.lit(1).cast("bigint"))
+        .persist()
     )
