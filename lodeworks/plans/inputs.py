@@ -1,7 +1,7 @@
 """Operator inputs derived from the shared test tables.
 
-An operator reads its input several times, so inputs that take a join or a
-shuffle to derive are kept, as a stored table would be.
+An operator reads its input several times, so inputs that take a shuffle to
+derive are kept, as a stored table would be.
 """
 
 from __future__ import annotations
@@ -46,7 +46,7 @@ def baskets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(parts, lines["l_partkey"] == parts["p_partkey"]).select(
         F.col("l_orderkey").alias("basket_id"),
         F.explode(F.array("p_brand", "p_type", "p_name")).alias("item"),
-    ).persist()
+    )
 
 
 def support_of(rows: DataFrame, share: float, basket: str = "basket_id") -> int:

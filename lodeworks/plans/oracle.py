@@ -32,7 +32,9 @@ directed AS (
   SELECT u AS "user", v AS candidate, n FROM strangers UNION ALL SELECT v, u, n FROM strangers),
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY n DESC, candidate) AS r FROM directed)
-SELECT p.p_partkey AS "user", r.candidate, r.n AS n_mutual, r.r AS rank
+SELECT p.p_partkey AS "user",
+       coalesce(string_agg(CAST(r.candidate AS VARCHAR), ',' ORDER BY r.r), '') AS candidates,
+       coalesce(string_agg(CAST(r.n AS VARCHAR), ',' ORDER BY r.r), '') AS n_mutual
 FROM part p LEFT JOIN ranked r ON r."user" = p.p_partkey AND r.r <= {S.TOP_FRIENDS}
 """
 
@@ -230,8 +232,8 @@ def sql() -> dict[str, str]:
     texts = {
         "mutual_friend_counts": f"WITH {EDGES} SELECT u, v, n FROM mutual",
         "non_friend_pairs": f"WITH {EDGES} SELECT u, v, n FROM strangers",
-        "recommend_friends": RECOMMENDED,
-        "recommend_friends_selected": f"{RECOMMENDED} WHERE p.p_partkey IN ({_list(S.REPORT_USERS)})",
+        "recommend_friends": f"{RECOMMENDED} GROUP BY 1",
+        "recommend_friends_selected": f"{RECOMMENDED} WHERE p.p_partkey IN ({_list(S.REPORT_USERS)}) GROUP BY 1",
         "frequent_items": f"WITH {MARKET}, {ITEMS} SELECT a, n FROM f1",
         "frequent_items_occurrence": f"WITH {MARKET}, {ITEMS} SELECT a, n FROM g1",
         "frequent_pairs": f"WITH {MARKET}, {ITEMS}, {PAIRS} SELECT a, b, n FROM f2",

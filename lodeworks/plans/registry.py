@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodeworks.operators import basket, cf, cluster, factor, graph, linalg, neighbors
 from lodeworks.operators.skew import broadcast_if_small
 from lodeworks.plans import inputs, settings
+from lodeworks.sources.writers import friend_lists
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,15 +31,17 @@ def non_friend_pairs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def recommend_friends(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.recommend_friends(
+    found = graph.recommend_friends(
         inputs.friend_edges(spark, sf), inputs.people(spark, sf), settings.TOP_FRIENDS
     )
+    return friend_lists(found)
 
 
 def recommend_friends_selected(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.recommend_friends(
+    found = graph.recommend_friends(
         inputs.friend_edges(spark, sf), inputs.people(spark, sf), settings.TOP_FRIENDS, settings.REPORT_USERS
     )
+    return friend_lists(found)
 
 
 # Frequent itemsets and rules
