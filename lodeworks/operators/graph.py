@@ -3,11 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.operators.skew import BLOCK_ROWS, group_sizes, pairs_within
+from lodeworks.operators.skew import (
+    BLOCK_ROWS,
+    BROADCAST_ROWS,
+    GroupSizes,
+    broadcast_if_small,
+    group_sizes,
+    pairs_within,
+)
+
+# A vertex whose list makes more pairs than this is a hub; only the largest few
+# are treated as such, as a class is kept per set of hubs.
+HUB_PAIRS = 20_000_000
+MAX_HUBS = 4
+# Lowest ids that each class of users offers as candidates.
+CLASS_IDS = 1024
 
 
 def _adjacency(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -17,14 +32,17 @@ def _adjacency(edges: DataFrame, src: str, dst: str) -> DataFrame:
     )
 
 
+def _counts(lists: DataFrame, sizes: GroupSizes, block_rows: int) -> DataFrame:
+    wedges = pairs_within(lists, ["src"], "dst", sizes, block_rows=block_rows, repeats=True)
+    return wedges.groupBy(F.col("a").alias("u"), F.col("b").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def mutual_friend_counts(
     edges: DataFrame, src: str = "src", dst: str = "dst", block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """`u, v, n`: for u < v, the number of vertices whose list holds both."""
     lists = _adjacency(edges, src, dst)
-    sizes = group_sizes(lists, ["src"], block_rows)
-    wedges = pairs_within(lists, ["src"], "dst", sizes, block_rows=block_rows, repeats=True)
-    return wedges.groupBy(F.col("a").alias("u"), F.col("b").alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    return _counts(lists, group_sizes(lists, ["src"], block_rows), block_rows)
 
 
 def drop_connected(pairs: DataFrame, edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
@@ -35,26 +53,118 @@ def drop_connected(pairs: DataFrame, edges: DataFrame, src: str = "src", dst: st
     return pairs.join(connected, ["u", "v"], "left_anti")
 
 
-def _selected_counts(adjacency: DataFrame, users: list[int]) -> DataFrame:
-    """`user, candidate, n_mutual` of the named users only: two steps from each."""
-    first = adjacency.where(F.col("dst").isin(users)).select("src", F.col("dst").alias("user")).distinct()
-    second = adjacency.select("src", F.col("dst").alias("candidate")).distinct()
+def _both_ways(pairs: DataFrame, one: str, other: str, names: tuple[str, str], *carried: str) -> DataFrame:
+    """Each pair as two rows, `names` being (one, other) and then (other, one)."""
+    a, b = names
+    there = F.struct(F.col(one).alias(a), F.col(other).alias(b))
+    back = F.struct(F.col(other).alias(a), F.col(one).alias(b))
+    return pairs.select(F.explode(F.array(there, back)).alias("_p"), *carried).select("_p.*", *carried)
+
+
+def _selected_counts(lists: DataFrame, users: DataFrame) -> DataFrame:
+    """`user, candidate, n_mutual` of the given users only: two steps from each.
+
+    `users` is broadcast by the caller where it is known to be small.
+    """
+    steps = lists.distinct()
+    first = steps.withColumnRenamed("dst", "user").join(users, "user", "left_semi")
+    second = steps.withColumnRenamed("dst", "candidate")
     counts = (
         first.join(second, "src")
         .where(F.col("user") != F.col("candidate"))
         .groupBy("user", "candidate")
         .agg(F.count(F.lit(1)).alias("n_mutual"))
     )
-    touching = adjacency.where(F.col("src").isin(users) | F.col("dst").isin(users))
-    both_ways = touching.select(
-        F.explode(
-            F.array(
-                F.struct(F.col("src").alias("user"), F.col("dst").alias("candidate")),
-                F.struct(F.col("dst").alias("user"), F.col("src").alias("candidate")),
-            )
-        ).alias("e")
-    ).select("e.*")
-    return counts.join(both_ways, ["user", "candidate"], "left_anti")
+    near = _both_ways(lists, "src", "dst", ("user", "candidate")).join(users, "user", "left_semi")
+    return counts.join(near, ["user", "candidate"], "left_anti")
+
+
+def _hub_ids(sizes: GroupSizes, hub_pairs: float) -> list[int]:
+    """The few vertices whose lists alone would make more than `hub_pairs` pairs."""
+    if sizes.hot is None:
+        return []
+    n = F.col("_n").cast("double")
+    largest = sizes.hot.where(n * (n - 1) / 2 > hub_pairs).orderBy(F.desc("_n"), "src").limit(MAX_HUBS)
+    return [r["src"] for r in largest.collect()]
+
+
+def _around_hubs(
+    lists: DataFrame, hubs: list[int], sizes: GroupSizes, n: int, offered: int, block_rows: int
+) -> DataFrame:
+    """`user, candidate, n_mutual` with the n best of every user, no hub's pairs being made.
+
+    What the hubs add to the score of two users is the number of hubs whose
+    lists hold both. So users fall into at most 2^hubs - 1 classes, and among
+    users of one class the lower id is better. A candidate is either found
+    through another vertex, or one of the first n of its class that the user is
+    not connected to: any n better ones would also be better in full.
+
+    Each class offers its `offered` lowest ids. A user connected to so many of
+    them that fewer than n are left, while the class has more, is computed by
+    `_selected_counts` instead.
+    """
+    # Which hubs list a user, as bits.
+    bit = F.lit(0)
+    for place, hub in enumerate(hubs):
+        bit = F.when(F.col("src") == hub, 1 << place).otherwise(bit)
+    of_hubs = F.col("src").isin(hubs)
+    masks = lists.where(of_hubs).groupBy(F.col("dst").alias("user")).agg(F.bit_or(bit).alias("mask")).persist()
+
+    rest = replace(
+        sizes, hot=sizes.hot.where(~of_hubs), pairs=max(0.0, sizes.pairs - float(_pairs_of_hubs(sizes, hubs)))
+    )
+    found = drop_connected(_counts(lists.where(~of_hubs), rest, block_rows), lists)
+    for side in ("u", "v"):
+        found = found.join(masks.select(F.col("user").alias(side), F.col("mask").alias(f"_{side}")), side, "left")
+    shared = F.bit_count(F.coalesce("_u", F.lit(0)).bitwiseAND(F.coalesce("_v", F.lit(0))))
+    found = found.select("u", "v", (F.col("n") + shared).alias("n_mutual"))
+    directed = _both_ways(found, "u", "v", ("user", "candidate"), "n_mutual")
+
+    lowest = Window.partitionBy("mask").orderBy("user")
+    first = masks.withColumn("_r", F.row_number().over(lowest)).where(F.col("_r") <= offered).collect()
+    ids: dict[int, list[int]] = {}
+    for r in sorted(first, key=lambda r: (r["mask"], r["_r"])):
+        ids.setdefault(r["mask"], []).append(r["user"])
+    members = {r["mask"]: r["count"] for r in masks.groupBy("mask").count().collect()}
+    spark = lists.sparkSession
+    classes = spark.createDataFrame(
+        [(c, listed, members[c] > len(listed)) for c, listed in ids.items()], "_c int, ids array<bigint>, more boolean"
+    )
+    listed = spark.createDataFrame(
+        [(i,) for i in sorted({i for all_ids in ids.values() for i in all_ids})], "other bigint"
+    )
+    near = (
+        _both_ways(lists, "src", "dst", ("user", "other"))
+        .join(F.broadcast(listed), "other", "left_semi")
+        .groupBy("user")
+        .agg(F.collect_set("other").alias("near"))
+    )
+    taken = F.array_append(F.coalesce("near", F.array().cast("array<bigint>")), F.col("user"))
+    offers = (
+        masks.select("user", "mask", F.explode(F.array(*[F.lit(c) for c in ids])).alias("_c"))
+        .withColumn("n_mutual", F.bit_count(F.col("mask").bitwiseAND(F.col("_c"))).cast("bigint"))
+        .where(F.col("n_mutual") > 0)
+        .join(near, "user", "left")
+        .join(F.broadcast(classes), "_c")
+        .select("user", "n_mutual", "more", F.slice(F.array_except("ids", taken), 1, n).alias("free"))
+        .persist()
+    )
+    from_class = offers.select("user", F.explode("free").alias("candidate"), "n_mutual")
+    best = (
+        directed.unionByName(from_class)
+        .groupBy("user", "candidate")
+        .agg(F.max("n_mutual").alias("n_mutual"))
+    )
+    short = offers.where(F.col("more") & (F.size("free") < n)).select("user").distinct()
+    if not short.head(1):
+        return best
+    short = broadcast_if_small(short)
+    return best.join(short, "user", "left_anti").unionByName(_selected_counts(lists, short))
+
+
+def _pairs_of_hubs(sizes: GroupSizes, hubs: list[int]) -> float:
+    n = F.col("_n").cast("double")
+    return sizes.hot.where(F.col("src").isin(hubs)).agg(F.sum(n * (n - 1) / 2)).first()[0] or 0.0
 
 
 def recommend_friends(
@@ -66,29 +176,31 @@ def recommend_friends(
     dst: str = "dst",
     vertex: str = "id",
     block_rows: int = BLOCK_ROWS,
+    hub_pairs: float = HUB_PAIRS,
+    offered: int = CLASS_IDS,
 ) -> DataFrame:
     """`user, candidate, n_mutual, rank`: the n best non-friends of each vertex.
 
     Order: most mutual friends first, then lower id. A vertex without a
     candidate keeps one row of NULLs. With `users`, only the two-step
-    neighbourhood of those users is computed.
+    neighbourhood of those users is computed. Vertices whose lists alone would
+    make more than `hub_pairs` pairs are counted without making them.
     """
     owners = vertices.select(F.col(vertex).cast("bigint").alias("user")).distinct()
-    if users is None:
-        pairs = drop_connected(mutual_friend_counts(edges, src, dst, block_rows), edges, src, dst)
-        directed = pairs.select(
-            F.explode(
-                F.array(
-                    F.struct(F.col("u").alias("user"), F.col("v").alias("candidate")),
-                    F.struct(F.col("v").alias("user"), F.col("u").alias("candidate")),
-                )
-            ).alias("p"),
-            F.col("n").alias("n_mutual"),
-        ).select("p.*", "n_mutual")
-    else:
+    lists = _adjacency(edges, src, dst)
+    if users is not None:
         wanted = [int(u) for u in users]
         owners = owners.where(F.col("user").isin(wanted))
-        directed = _selected_counts(_adjacency(edges, src, dst), wanted)
+        named = edges.sparkSession.createDataFrame([(u,) for u in sorted(set(wanted))], "user bigint")
+        directed = _selected_counts(lists, F.broadcast(named) if len(wanted) <= BROADCAST_ROWS else named)
+    else:
+        sizes = group_sizes(lists, ["src"], block_rows)
+        hubs = _hub_ids(sizes, hub_pairs)
+        if hubs:
+            directed = _around_hubs(lists, hubs, sizes, n, max(offered, n), block_rows)
+        else:
+            pairs = drop_connected(_counts(lists, sizes, block_rows), lists)
+            directed = _both_ways(pairs, "u", "v", ("user", "candidate"), "n").withColumnRenamed("n", "n_mutual")
     best_first = Window.partitionBy("user").orderBy(F.desc("n_mutual"), "candidate")
     best = directed.withColumn("rank", F.row_number().over(best_first).cast("bigint")).where(F.col("rank") <= n)
     return owners.join(best, "user", "left")

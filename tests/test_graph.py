@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from conftest import rows
 
 from lodeworks.operators import graph
@@ -83,3 +86,34 @@ def test_hub_graph_against_brute_force(spark):
     wanted = [0, 3, 17, 59]
     some = graph.recommend_friends(frame(spark, edges), everyone, n=10, users=wanted)
     assert rows(some) == sorted((r for r in expected if r[0] in wanted), key=repr)
+
+
+def ranked_rows(edges, ids, n):
+    _, best = brute(edges)
+    return sorted(
+        [(u, v, -m, k + 1) for u in ids for k, (m, v) in enumerate(best.get(u, [])[:n])]
+        + [(u, None, None, None) for u in ids if u not in best],
+        key=repr,
+    )
+
+
+@pytest.mark.parametrize("offered", [1024, 4])
+def test_hubs_without_their_pairs(spark, offered):
+    draw = random.Random(8)
+    pairs = [(h, i) for h, share in ((0, 0.9), (1, 0.6), (2, 0.5)) for i in range(3, 70) if draw.random() < share]
+    pairs += [tuple(draw.sample(range(3, 75), 2)) for _ in range(90)]
+    # A user next to nearly everyone with a low id cannot be served by few offers.
+    pairs += [(74, i) for i in range(3, 40)]
+    edges = both(pairs) + [(50, 3), (3, 60)]
+    found = graph.recommend_friends(
+        frame(spark, edges), people(spark, range(80)), n=5, block_rows=8, hub_pairs=300, offered=offered
+    )
+    assert rows(found) == ranked_rows(edges, range(80), 5)
+
+
+def test_hub_choice(spark):
+    edges = both([(0, i) for i in range(1, 30)] + [(1, i) for i in range(2, 20)])
+    lists = graph._adjacency(frame(spark, edges), "src", "dst")
+    assert graph._hub_ids(graph.group_sizes(lists, ["src"], 5), 100) == [0, 1]
+    assert graph._hub_ids(graph.group_sizes(lists, ["src"], 5), 200) == [0]
+    assert graph._hub_ids(graph.group_sizes(lists, ["src"], 50), 200) == []
