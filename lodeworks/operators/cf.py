@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from lodeworks.operators.skew import BLOCK_ROWS, group_sizes, pairs_within, partitioned
 
 SCORE_DIGITS = 9
+# Wider than what rounding to SCORE_DIGITS can move.
+TIE_WIDTH = 1e-8
 
 # Up to this many members (32 MB of doubles squared) a task holds a whole
 # members x members table; DENSE_ROWS rows are worked on at a time.
@@ -140,14 +142,21 @@ def user_similarity(seen: DataFrame, mirror: bool = True, block_rows: int = BLOC
     return sim.select(F.col("i").alias("u"), F.col("j").alias("v"), "sim")
 
 
-def _dense_scores(rows: DataFrame, members: np.ndarray, table: np.ndarray, weighted: bool) -> DataFrame:
+def _dense_scores(
+    rows: DataFrame, members: np.ndarray, table: np.ndarray, weighted: bool, top: int | None
+) -> DataFrame:
     """`user, item, score`: each row times the items x items table, inside the task."""
 
     def score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             block, weight = _dense(batch, members, weighted)
             scores = (block * weight[:, None]) @ table
-            row, item = np.nonzero(scores)
+            kept = scores != 0
+            if top is not None and top < len(members):
+                # Near ties stay, so that rounding later decides about them.
+                last = np.partition(scores, -top, axis=1)[:, -top]
+                kept &= scores >= last[:, None] - TIE_WIDTH
+            row, item = np.nonzero(kept)
             users = batch.column(0).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(users[row]), pa.array(members[item]), pa.array(scores[row, item])],
@@ -157,7 +166,9 @@ def _dense_scores(rows: DataFrame, members: np.ndarray, table: np.ndarray, weigh
     return rows.mapInArrow(score, "user bigint, item bigint, score double")
 
 
-def _times_items(cells: DataFrame, weights: DataFrame, weighted: bool, users: Iterable[int] | None) -> DataFrame:
+def _times_items(
+    cells: DataFrame, weights: DataFrame, weighted: bool, users: Iterable[int] | None, top: int | None
+) -> DataFrame:
     """`user, item, score`: rows of the cell table times `i, j, w`; zero scores are left out.
 
     Up to MAX_DENSE items the table goes to every task. Beyond that the cells are
@@ -172,7 +183,7 @@ def _times_items(cells: DataFrame, weights: DataFrame, weighted: bool, users: It
         table[at[0], at[1]] = found.column("w").to_numpy()
         n_users = cells.select("user").distinct().count()
         rows = _rows_of(cells, "user", "item", float(n_users) * len(members))
-        return _dense_scores(rows.withColumn("user", F.col("user").cast("bigint")), members, table, weighted)
+        return _dense_scores(rows.withColumn("user", F.col("user").cast("bigint")), members, table, weighted, top)
     share = F.col("r")
     if weighted:
         cells = cells.join(cells.groupBy("user").agg(F.sum("r").alias("d")), "user")
@@ -186,27 +197,31 @@ def _times_items(cells: DataFrame, weights: DataFrame, weighted: bool, users: It
 
 
 def cf_scores_item(
-    seen: DataFrame, users: Iterable[int] | None = None, block_rows: int = BLOCK_ROWS
+    seen: DataFrame, users: Iterable[int] | None = None, top: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
-    """`user, item, score`: seen items weighted by item similarity."""
+    """`user, item, score`: seen items weighted by item similarity.
+
+    Give `top` if only `cf_top_n` with at most that n and no item filter follows;
+    then a task may leave out what cannot be among a user's `top` best.
+    """
     cells = _cells(seen)
     similar = _similarity(cells, "user", "item", True, block_rows).withColumnRenamed("sim", "w")
-    return _times_items(cells, similar, False, users)
+    return _times_items(cells, similar, False, users, top)
 
 
 def cf_scores_user(
-    seen: DataFrame, users: Iterable[int] | None = None, block_rows: int = BLOCK_ROWS
+    seen: DataFrame, users: Iterable[int] | None = None, top: int | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """`user, item, score`: similar users' items, weighted by user similarity.
 
-    The product (users x users)(users x items) is grouped the other way, so the
+    `top` is as in `cf_scores_item`. The product (users x users)(users x items) is grouped the other way, so the
     table in the middle is items x items and never users x users.
     """
     cells = _cells(seen)
     middle = _products(cells, "user", "item", True, block_rows).select(
         F.col("a").alias("i"), F.col("b").alias("j"), F.col("s").alias("w")
     )
-    return _times_items(cells, _mirrored(middle, "w"), True, users)
+    return _times_items(cells, _mirrored(middle, "w"), True, users, top)
 
 
 def cf_top_n(

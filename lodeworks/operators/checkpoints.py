@@ -20,17 +20,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lodeworks-checkpoints-")
-    if not context.getCheckpointDir():
         context.setCheckpointDir(folder)
     return folder
 
 
-def materialize(rows: DataFrame) -> DataFrame:
-    """Run `rows` now and continue from the files written."""
-    checkpoint_dir(rows.sparkSession)
-    return rows.checkpoint(eager=True)
-
-
-def scratch_table(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the checkpoint folder."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def store(rows: DataFrame, path: str, partition_by: str | None = None) -> DataFrame:
+    """Write `rows` to `path` and continue from the files, which outlive any executor."""
+    writer = rows.write if partition_by is None else rows.write.partitionBy(partition_by)
+    writer.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table made by `store` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -288,11 +288,13 @@ def cf_scores_user(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cf_top_n_item(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(cf.cf_top_n(cf.cf_scores_item(inputs.seen(spark, sf)), settings.TOP_SCORES), "score")
+    scores = cf.cf_scores_item(inputs.seen(spark, sf), top=settings.TOP_SCORES)
+    return _rounded(cf.cf_top_n(scores, settings.TOP_SCORES), "score")
 
 
 def cf_top_n_user(spark: SparkSession, sf: str) -> DataFrame:
-    return _rounded(cf.cf_top_n(cf.cf_scores_user(inputs.seen(spark, sf)), settings.TOP_SCORES), "score")
+    scores = cf.cf_scores_user(inputs.seen(spark, sf), top=settings.TOP_SCORES)
+    return _rounded(cf.cf_top_n(scores, settings.TOP_SCORES), "score")
 
 
 def registered() -> dict[str, Query]:

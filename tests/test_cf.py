@@ -80,3 +80,12 @@ def test_top_n_ties_filters_and_seen_items(spark):
     assert top(n=2, users=[1], item_filter=scores["item"] < 100) == [(1, 9, 1), (1, 2, 2)]
     seen = spark.createDataFrame([(1, 120, 1), (1, 9, 0)], "user bigint, item bigint, r bigint")
     assert top(n=1, seen=seen) == [(1, 9, 1), (2, 1, 1)]
+
+
+def test_top_in_the_task_changes_nothing(spark, matrix):
+    seen = sparse(spark, matrix)
+    for scores in (cf.cf_scores_item, cf.cf_scores_user):
+        whole = cf.cf_top_n(scores(seen), 3).orderBy("user", "rank").collect()
+        early = scores(seen, top=3)
+        assert cf.cf_top_n(early, 3).orderBy("user", "rank").collect() == whole
+        assert early.count() < scores(seen).count()
