@@ -66,9 +66,9 @@ def _selected_counts(lists: DataFrame, users: DataFrame) -> DataFrame:
 
     `users` is broadcast by the caller where it is known to be small.
     """
-    steps = lists.distinct()
-    first = steps.withColumnRenamed("dst", "user").join(users, "user", "left_semi")
-    second = steps.withColumnRenamed("dst", "candidate")
+    first = lists.withColumnRenamed("dst", "user").join(users, "user", "left_semi").distinct()
+    middle = broadcast_if_small(first.select("src").distinct())
+    second = lists.withColumnRenamed("dst", "candidate").join(middle, "src", "left_semi").distinct()
     counts = (
         first.join(second, "src")
         .where(F.col("user") != F.col("candidate"))

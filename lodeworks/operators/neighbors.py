@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -81,6 +81,13 @@ def lsh_keys(vector: str, family: HashFamily) -> Column:
     return F.expr(f"zip_with({dims}, {cuts}, (ds, cs) -> array_join({bits}, ''))")
 
 
+def hash_rows(
+    vectors: DataFrame, functions: Sequence[Callable[[Column], Column]], id: str = "id", vector: str = "v"
+) -> DataFrame:
+    """`id, keys`: the array of what each function makes of the vector."""
+    return vectors.select(F.col(id).alias("id"), F.array(*[f(F.col(vector)) for f in functions]).alias("keys"))
+
+
 def lsh_signatures(vectors: DataFrame, family: HashFamily, id: str = "id", vector: str = "v") -> DataFrame:
     """`id, tbl, key`: the bucket of every vector in every table."""
     return vectors.select(F.col(id).alias("id"), F.posexplode(lsh_keys(vector, family)).alias("tbl", "key"))
@@ -149,9 +156,11 @@ def _lsh_found(
     queries = hashed.where(F.col("id").isin(list(query_ids))).select(
         "k", "L", F.col("id").alias("query_id"), F.col("v").alias("query_v"), F.col("keys").alias("query_keys")
     )
-    if len(query_ids) <= QUERIES_PER_PASS:
-        queries = F.broadcast(queries)
-    return _pair_once(hashed, queries, ["k", "L"]).select(
+    if len(query_ids) > QUERIES_PER_PASS:
+        # Shuffle by bucket without the vectors, and fetch those of the pairs found.
+        pairs = _pair_once(hashed.drop("v"), queries.drop("query_v"), ["k", "L"])
+        return pair_distances(pairs.select("k", "L", "query_id", "id"), base, metric)
+    return _pair_once(hashed, F.broadcast(queries), ["k", "L"]).select(
         "k", "L", "query_id", "id", distance("v", "query_v", metric).alias("dist")
     )
 

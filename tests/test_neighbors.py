@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from lodeworks.operators import neighbors as nb
 
@@ -124,3 +125,21 @@ def test_sweep_equals_single_runs(spark, data):
         for setting, family in families.items()
     }
     assert swept == pytest.approx(single)
+
+
+def test_many_queries_take_the_shuffle_path(spark, data, monkeypatch):
+    family, queries = nb.lsh_family(k=5, L=3, dims=12, seed=5), list(range(0, 60, 7))
+    few = rows(nb.lsh_knn(table(spark, data), family, queries, 4))
+    monkeypatch.setattr(nb, "QUERIES_PER_PASS", 2)
+    assert rows(nb.lsh_knn(table(spark, data), family, queries, 4)) == few
+
+
+def test_hash_rows_with_any_functions(spark):
+    def total(v):
+        return F.aggregate(v, F.lit(0.0), lambda s, x: s + x)
+
+    def squares(v):
+        return F.aggregate(v, F.lit(0.0), lambda s, x: s + x * x)
+
+    found = nb.hash_rows(table(spark, [[1, 2, 3], [4, 5, 6]]), [total, squares])
+    assert rows(found) == [(0, [6.0, 14.0]), (1, [15.0, 77.0])]
