@@ -66,19 +66,17 @@ def lsh_family(
     )
 
 
-def lsh_keys(vector: str, family: HashFamily) -> Column:
-    """Array with one k-character bit string per table.
+def bucket_keys(points: np.ndarray, family: HashFamily) -> np.ndarray:
+    """The k-character keys of a batch of vectors as (rows, L) byte strings."""
+    bits = points[:, np.array(family.dims)] >= np.array(family.thresholds)
+    return np.ascontiguousarray(bits.astype(np.uint8) + ord("0")).view(f"S{family.bits}")[..., 0]
 
-    The family is a constant array inside the expression. Spelled out as k * L
-    comparisons it would outgrow a generated method.
-    """
-
-    def constant(table: Sequence[Sequence[float]], suffix: str) -> str:
-        return "array(" + ", ".join(f"array({', '.join(repr(x) + suffix for x in row)})" for row in table) + ")"
 
-    dims, cuts = constant(family.dims, ""), constant(family.thresholds, "D")
-    bits = f"zip_with(ds, cs, (d, c) -> if(`{vector}`[d] >= c, '1', '0'))"
-    return F.expr(f"zip_with({dims}, {cuts}, (ds, cs) -> array_join({bits}, ''))")
+def _strings(keys: np.ndarray) -> pa.StringArray:
+    """Byte strings of one length as an Arrow column."""
+    flat = np.ascontiguousarray(keys).ravel()
+    ends = np.arange(0, (len(flat) + 1) * flat.itemsize, flat.itemsize, dtype=np.int32)
+    return pa.StringArray.from_buffers(len(flat), pa.py_buffer(ends), pa.py_buffer(flat.tobytes()))
 
 
 def hash_rows(
@@ -88,9 +86,22 @@ def hash_rows(
     return vectors.select(F.col(id).alias("id"), F.array(*[f(F.col(vector)) for f in functions]).alias("keys"))
 
 
+def _id_and_vector(vectors: DataFrame, id: str, vector: str) -> DataFrame:
+    return vectors.select(F.col(id).cast("bigint").alias("id"), F.col(vector).alias("v"))
+
+
 def lsh_signatures(vectors: DataFrame, family: HashFamily, id: str = "id", vector: str = "v") -> DataFrame:
     """`id, tbl, key`: the bucket of every vector in every table."""
-    return vectors.select(F.col(id).alias("id"), F.posexplode(lsh_keys(vector, family)).alias("tbl", "key"))
+
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                ids = np.repeat(batch.column(0).to_numpy(zero_copy_only=False), family.tables)
+                tables = np.tile(np.arange(family.tables, dtype=np.int32), batch.num_rows)
+                keys = _strings(bucket_keys(matrix(batch.column(1)), family))
+                yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(tables), keys], names=["id", "tbl", "key"])
+
+    return _id_and_vector(vectors, id, vector).mapInArrow(sign, "id bigint, tbl int, key string")
 
 
 def _first_shared_table(mine: str, theirs: str) -> Column:
@@ -138,31 +149,108 @@ def _n_nearest(found: DataFrame, n: int, groups: Sequence[str] = ("query_id",))
     return found.withColumn("rank", F.row_number().over(nearest_first).cast("bigint")).where(F.col("rank") <= n)
 
 
+def _key_arrays(vectors: DataFrame, families: dict[tuple[int, int], HashFamily], id: str, vector: str) -> DataFrame:
+    """`k, L, id, keys`: the keys of every vector as one array per family."""
+
+    def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for (k, L), family in families.items() if batch.num_rows else ():
+                keys = _strings(bucket_keys(matrix(batch.column(1)), family))
+                ends = np.arange(0, len(keys) + 1, family.tables, dtype=np.int32)
+                setting = [pa.array(np.full(batch.num_rows, x, dtype=np.int32)) for x in (k, L)]
+                yield pa.RecordBatch.from_arrays(
+                    [*setting, batch.column(0), pa.ListArray.from_arrays(pa.array(ends), keys)],
+                    names=["k", "L", "id", "keys"],
+                )
+
+    return _id_and_vector(vectors, id, vector).mapInArrow(sign, "k int, L int, id bigint, keys array<string>")
+
+
+def _mates(keys: np.ndarray, query_keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, query) positions that share a bucket in any table, each pair once."""
+    found = []
+    for table in range(keys.shape[1]):
+        order = np.argsort(query_keys[:, table], kind="stable")
+        buckets = query_keys[order, table]
+        first = np.searchsorted(buckets, keys[:, table], "left")
+        many = np.searchsorted(buckets, keys[:, table], "right") - first
+        row = np.repeat(np.arange(len(keys)), many)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(many) - many, many)
+        found.append(row * len(query_keys) + order[np.repeat(first, many) + step])
+    return np.divmod(np.unique(np.concatenate(found)), len(query_keys))
+
+
+def _lsh_scan(
+    vectors: DataFrame,
+    families: dict[tuple[int, int], HashFamily],
+    block: tuple[np.ndarray, np.ndarray],
+    metric: str,
+    n: int,
+    id: str,
+    vector: str,
+) -> DataFrame:
+    """`k, L, query_id, id, dist` for one block of queries, n per task, family and query.
+
+    The query keys travel to the tasks. Vectors are hashed, compared and dropped
+    where they are scanned, so a hot bucket costs no shuffle.
+    """
+    query_ids, targets = block
+    query_keys = {setting: bucket_keys(targets, family) for setting, family in families.items()}
+
+    def search(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[tuple[int, int, int], tuple[np.ndarray, np.ndarray]] = {}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids, points = batch.column(0).to_numpy(zero_copy_only=False), matrix(batch.column(1))
+            for (k, L), family in families.items():
+                rows, asked = _mates(bucket_keys(points, family), query_keys[k, L])
+                for at in np.unique(asked):
+                    query = int(query_ids[at])
+                    mine = rows[asked == at]
+                    mine = mine[ids[mine] != query]
+                    near, far = ids[mine], gaps(points[mine], targets[at], metric)
+                    if (k, L, query) in kept:
+                        near = np.concatenate([kept[k, L, query][0], near])
+                        far = np.concatenate([kept[k, L, query][1], far])
+                    best = _smallest(near, far, n)
+                    kept[k, L, query] = near[best], far[best]
+        for (k, L, query), (near, far) in kept.items():
+            fixed = [np.full(len(near), x, dtype=t) for x, t in ((k, np.int32), (L, np.int32), (query, np.int64))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (*fixed, near, far)], names=["k", "L", "query_id", "id", "dist"]
+            )
+
+    return _id_and_vector(vectors, id, vector).mapInArrow(
+        search, "k int, L int, query_id bigint, id bigint, dist double"
+    )
+
+
 def _lsh_found(
     vectors: DataFrame,
     families: dict[tuple[int, int], HashFamily],
     query_ids: Sequence[int],
+    n: int,
     metric: str,
     id: str,
     vector: str,
 ) -> DataFrame:
-    """`k, L, query_id, id, dist` for several families in one scan of the vectors."""
-    settings = [
-        F.struct(F.lit(k).alias("k"), F.lit(L).alias("L"), lsh_keys("v", family).alias("keys"))
-        for (k, L), family in families.items()
-    ]
-    base = vectors.select(F.col(id).alias("id"), F.col(vector).alias("v"))
-    hashed = base.select("id", "v", F.explode(F.array(*settings)).alias("s")).select("id", "v", "s.*")
-    queries = hashed.where(F.col("id").isin(list(query_ids))).select(
-        "k", "L", F.col("id").alias("query_id"), F.col("v").alias("query_v"), F.col("keys").alias("query_keys")
-    )
-    if len(query_ids) > QUERIES_PER_PASS:
-        # Shuffle by bucket without the vectors, and fetch those of the pairs found.
-        pairs = _pair_once(hashed.drop("v"), queries.drop("query_v"), ["k", "L"])
-        return pair_distances(pairs.select("k", "L", "query_id", "id"), base, metric)
-    return _pair_once(hashed, F.broadcast(queries), ["k", "L"]).select(
-        "k", "L", "query_id", "id", distance("v", "query_v", metric).alias("dist")
+    """`k, L, query_id, id, dist` of bucket mates, for several families in one scan.
+
+    At least the n nearest of each query and family are among them.
+    """
+    check_metric(metric)
+    if len(query_ids) <= QUERIES_PER_PASS:
+        for block in _query_blocks(vectors, query_ids, id, vector):
+            return _lsh_scan(vectors, families, block, metric, n, id, vector)
+    # Shuffle by bucket without the vectors, and fetch those of the pairs found.
+    hashed = _key_arrays(vectors, families, id, vector)
+    asked = vectors.where(F.col(id).isin([int(q) for q in query_ids]))
+    queries = _key_arrays(asked, families, id, vector).select(
+        "k", "L", F.col("id").alias("query_id"), F.col("keys").alias("query_keys")
     )
+    pairs = _pair_once(hashed, queries, ["k", "L"]).select("k", "L", "query_id", "id")
+    return pair_distances(pairs, _id_and_vector(vectors, id, vector), metric)
 
 
 def lsh_knn(
@@ -175,7 +263,7 @@ def lsh_knn(
     vector: str = "v",
 ) -> DataFrame:
     """`query_id, id, dist, rank`: the n nearest of each query's bucket mates."""
-    found = _lsh_found(vectors, {(family.bits, family.tables): family}, query_ids, metric, id, vector)
+    found = _lsh_found(vectors, {(family.bits, family.tables): family}, query_ids, n, metric, id, vector)
     return _n_nearest(found.select("query_id", "id", "dist"), n)
 
 
@@ -240,7 +328,7 @@ def _scan(vectors: DataFrame, block: tuple[np.ndarray, np.ndarray], metric: str,
         for query, (near, far) in kept.items():
             yield emit(query, near, far)
 
-    return vectors.select(F.col(id).cast("bigint").alias("id"), F.col(vector).alias("v")).mapInArrow(
+    return _id_and_vector(vectors, id, vector).mapInArrow(
         compare, "query_id bigint, id bigint, dist double"
     )
 
@@ -334,7 +422,7 @@ def ann_sweep(
     All settings are hashed in one scan of the vectors; the exact neighbours are
     found once, in another.
     """
-    found = _lsh_found(vectors, families, query_ids, metric, id, vector)
+    found = _lsh_found(vectors, families, query_ids, n, metric, id, vector)
     lsh = _n_nearest(found, n, ("k", "L", "query_id"))
     exact = exact_knn(vectors, query_ids, n, metric, id, vector)
     return (
