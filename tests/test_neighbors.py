@@ -37,7 +37,7 @@ def test_family_draws(spark):
     assert all(-0.5 <= x < 0.5 for *_, x in real.rows())
 
 
-def test_l1_of_the_reference_case(spark):
+def test_l1_of_a_small_case(spark):
     found = nb.distances(table(spark, [[1, 2, 3, 4], [2, 3, 2, 3]]), [0])
     assert rows(found) == [(0, 1, 4.0)]
     pairs = spark.createDataFrame([(0, 1)], "query_id bigint, id bigint")
