@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.operators.checkpoints import discard, scratch_path, store
 
-__all__ = ["discard", "keep", "let", "scratch_path", "small", "table"]
+__all__ = ["discard", "keep", "let", "scratch_path", "sliced", "small", "table"]
 
 # Rows of a table that may be broadcast, each of a few dozen bytes.
 BROADCAST_ROWS = 200_000
@@ -42,3 +45,15 @@ def ceil_div(a: int, b: int) -> int:
 def parts_for(rows: int, per_part: int) -> int:
     """The number of parts, a power of two, that hold `per_part` rows each at most, about."""
     return 1 << max(0, math.ceil(math.log2(max(1, rows) / per_part)))
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int = 1 << 21) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of about `most_bytes` of one column's text; a longer text is a piece of its own."""
+    for batch in batches:
+        lengths = pc.fill_null(pc.binary_length(batch[column]), 0).to_numpy(zero_copy_only=False)
+        total, start = np.cumsum(lengths, dtype=np.int64), 0
+        while start < batch.num_rows:
+            before = total[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(total, before + most_bytes, "right")))
+            yield batch.slice(start, end - start)
+            start = end

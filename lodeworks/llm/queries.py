@@ -6,17 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodeworks.llm.decontaminate import OP3_SQL, op3_decontaminate
 from lodeworks.llm.host_rules import OP7_SQL, op7_host_rules
 from lodeworks.llm.mixing import op6_mixing
+from lodeworks.llm.token_shards import op1_token_shards
 from lodeworks.llm.url_filter import OP2_SQL, op2_url_filter
+from lodeworks.llm.warc import OP9_SQL, op9_warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    listed = [op2_url_filter, op6_mixing, op7_host_rules]
+    listed = [op1_token_shards, op2_url_filter, op3_decontaminate, op6_mixing, op7_host_rules, op9_warc]
     return {f.__name__: f for f in listed}
 
 
 def sql() -> dict[str, str]:
-    return {"op2_url_filter": OP2_SQL, "op7_host_rules": OP7_SQL}
+    return {"op2_url_filter": OP2_SQL, "op3_decontaminate": OP3_SQL, "op7_host_rules": OP7_SQL, "op9_warc": OP9_SQL}
