@@ -48,7 +48,7 @@ SEED = 20_260_101
 ROUNDS = 4
 
 # Documents in one part of a source's running sum; slots made from one row.
-PART_DOCS = 20_000
+PART_DOCS = 2_000
 CHUNK_SLOTS = 1 << 14
 
 
@@ -190,7 +190,8 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> Mi
 def used(mixed: Mix) -> DataFrame:
     """The pieces of documents that the mix takes, with `times`, how often."""
     times = mixed.slots.groupBy("source_id", "block").agg(F.count(F.lit(1)).alias("times"))
-    return mixed.pieces.join(times, ["source_id", "block"])
+    # Without a hint the planner takes a few source rows for the size of all slots and broadcasts them.
+    return mixed.pieces.join(times.hint("merge"), ["source_id", "block"])
 
 
 def taken(mixed: Mix) -> DataFrame:

@@ -274,7 +274,7 @@ def manifest(spark: SparkSession, shards: Shards, spans: DataFrame) -> DataFrame
     docs = inside.groupBy("sequence").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "doc_id"))), lambda x: x["doc_id"]).alias("doc_ids"))
     docs = docs.mapInArrow(placed, "slot long, sequence long, doc_ids array<long>")
     read = read_slots(spark, shards).select("slot", "shard", F.sha2("tokens", 256).alias("tokens_sha256"))
-    return read.join(docs, "slot").select(
+    return read.join(docs.hint("merge"), "slot").select(
         "slot",
         "shard",
         ((F.col("slot") - F.col("shard") * shards.shard_slots) * shards.stride).alias("byte_offset"),
