@@ -51,10 +51,14 @@ class Words:
     first: np.ndarray
     starts: np.ndarray
     ends: np.ndarray
+    heads: np.ndarray | None = None
 
 
-def words_of(column: pa.Array) -> Words:
-    """The words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of each text, A-Z in lower case."""
+def words_of(column: pa.Array, head: int = 0) -> Words:
+    """The words `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` of each text, A-Z in lower case.
+
+    With `head`, also a hash of each word's first bytes.
+    """
     raw, offsets = texts_of(column)
     raw = LOWER[raw]
     inside = IN_WORD[raw]
@@ -69,8 +73,10 @@ def words_of(column: pa.Array) -> Words:
     # A polynomial over the bytes, from prefix sums, shifted to the word's start.
     sums = np.zeros(len(raw) + 1, np.uint64)
     np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * powers(_BASE, len(raw)), out=sums[1:])
-    hashes = (sums[ends] - sums[starts]) * powers(_INVERSE, len(raw) + 1)[starts]
-    return Words(mixed(hashes), np.searchsorted(starts, offsets), starts, ends)
+    back = powers(_INVERSE, len(raw) + 1)[starts]
+    hashes = mixed((sums[ends] - sums[starts]) * back)
+    heads = mixed((sums[np.minimum(starts + head, ends)] - sums[starts]) * back) if head else None
+    return Words(hashes, np.searchsorted(starts, offsets), starts, ends, heads)
 
 
 def runs(hashes: np.ndarray, length: int, salt: int = 0) -> np.ndarray:

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lodeworks.llm.decontaminate import OP3_SQL, op3_decontaminate
+from lodeworks.llm.grading import op4_grading
 from lodeworks.llm.host_rules import OP7_SQL, op7_host_rules
 from lodeworks.llm.html_text import op8_html_text
 from lodeworks.llm.mixing import op6_mixing
@@ -19,7 +20,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    listed = [op1_token_shards, op2_url_filter, op3_decontaminate, op5_near_dedup, op6_mixing, op7_host_rules, op8_html_text, op9_warc]
+    listed = [op1_token_shards, op2_url_filter, op3_decontaminate, op4_grading, op5_near_dedup, op6_mixing, op7_host_rules, op8_html_text, op9_warc]
     return {f.__name__: f for f in listed}
 
 
