@@ -233,7 +233,8 @@ def digests(captures: DataFrame) -> DataFrame:
         F.coalesce("response.payload_bytes", F.col("metadata.fields")["payloadLength"].cast("bigint")).alias("payload_bytes"),
         F.coalesce("response.payload_digest", "response.header_digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"),
-        F.col("response.refers_to").alias("_to"),
+        # A response refers to nothing: a name of its own that is not found keeps it from a common NULL key.
+        F.coalesce("response.refers_to", F.concat(F.lit("none "), "capture_id")).alias("_to"),
     )
     known = rows.where(F.col("record_type") == "response").groupBy(F.col("capture_id").alias("_to")).agg(
         F.first("page_id").alias("refers_to")
