@@ -9,8 +9,8 @@ probability of the top grade follow; the latter selects.
 The model is fitted on a bounded, documented sample of the labelled rows: about LABELLED rows
 by a hash of doc_id, all if there are fewer; one tenth by another hash is left out for measuring.
 Tasks run AdaGrad over their part of the sample and their weights are averaged, a few
-times. What comes to the driver is weights, PARTS times 2^BITS numbers a round, whatever the
-size of the corpus. All documents are then scored where they are, without a shuffle.
+times. What comes to the driver is the changed weights, PARTS times 2^BITS numbers a round at
+most, whatever the size of the corpus. All documents are then scored where they are, without a shuffle.
 
 Grades from the labels: 0 for bad quality, 1 for good but toxic, 2 for good.
 
@@ -175,27 +175,29 @@ def fit(sample: DataFrame) -> Model:
     """The model of a stored sample."""
     session = sample.sparkSession
     model = Model(np.zeros(1 << BITS, np.float32), np.arange(GRADES - 1, dtype=np.float64) - (GRADES - 2) / 2)
-    parts = sample.repartition(PARTS, "doc_id").sortWithinPartitions("doc_id", "grade")
+    # Groups of LABELLED / PARTS rows or so.
+    parts = sample.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(PARTS))).groupBy("part")
     for r in range(ROUNDS):
         shared = session.sparkContext.broadcast(model)
 
-        def learn(batches: Iterator[pa.RecordBatch], r: int = r, shared=shared) -> Iterator[pa.RecordBatch]:
-            grades, lists = [], []
-            for batch in batches:
-                grades.append(batch["grade"].to_numpy())
-                flat, offsets = batch["features"].flatten().to_numpy(), batch["features"].offsets.to_numpy()
-                lists += [flat[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets[:-1], offsets[1:])]
-            if lists:
-                own = _learn(shared.value, np.concatenate(grades), lists, r)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([own.weights.tobytes()]), pa.array([own.thresholds.tobytes()])], ["weights", "thresholds"]
-                )
-
-        got = parts.mapInArrow(learn, "weights binary, thresholds binary").collect()
+        def learn(rows: pa.Table, r: int = r, shared=shared) -> pa.Table:
+            rows = rows.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
+            column = rows["features"].chunk(0)
+            flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
+            lists = [flat[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets[:-1], offsets[1:])]
+            own = _learn(shared.value, rows["grade"].to_numpy(), lists, r)
+            change = own.weights - shared.value.weights
+            moved = np.flatnonzero(change)
+            columns = [[moved.tolist()], [change[moved].astype(float).tolist()], [own.thresholds.tolist()]]
+            return pa.table(columns, schema=pa.schema([("at", pa.list_(pa.int64())), ("change", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64()))]))
+
+        got = parts.applyInArrow(learn, "at array<long>, change array<double>, thresholds array<double>").collect()
         if not got:
             break
-        weights = [np.frombuffer(x["weights"], np.float32) for x in got]
-        model = Model(np.mean(weights, axis=0), np.mean([np.frombuffer(x["thresholds"]) for x in got], axis=0))
+        weights = model.weights.astype(np.float64)
+        for x in got:
+            weights[np.array(x["at"], np.int64)] += np.array(x["change"]) / len(got)
+        model = Model(weights.astype(np.float32), np.mean([x["thresholds"] for x in got], axis=0))
         shared.unpersist()
     return model
 
