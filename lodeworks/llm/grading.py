@@ -26,6 +26,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -171,6 +172,24 @@ def _learn(model: Model, grades: np.ndarray, lists: list[np.ndarray], seed: int)
     return Model(weights, raw)
 
 
+def _learner(shared: Broadcast, seed: int):
+    """What a task does with one group: its changes to the weights, and its thresholds."""
+
+    def learn(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
+        column = rows["features"].chunk(0)
+        flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
+        lists = [flat[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets[:-1], offsets[1:])]
+        own = _learn(shared.value, rows["grade"].to_numpy(), lists, seed)
+        change = own.weights - shared.value.weights
+        moved = np.flatnonzero(change)
+        columns = [[moved.tolist()], [change[moved].astype(float).tolist()], [own.thresholds.tolist()]]
+        kinds = [("at", pa.list_(pa.int64())), ("change", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64()))]
+        return pa.table(columns, schema=pa.schema(kinds))
+
+    return learn
+
+
 def fit(sample: DataFrame) -> Model:
     """The model of a stored sample."""
     session = sample.sparkSession
@@ -179,19 +198,7 @@ def fit(sample: DataFrame) -> Model:
     parts = sample.withColumn("part", F.pmod(F.xxhash64("doc_id", F.lit(13)), F.lit(PARTS))).groupBy("part")
     for r in range(ROUNDS):
         shared = session.sparkContext.broadcast(model)
-
-        def learn(rows: pa.Table, r: int = r, shared=shared) -> pa.Table:
-            rows = rows.sort_by([("doc_id", "ascending"), ("grade", "ascending")]).combine_chunks()
-            column = rows["features"].chunk(0)
-            flat, offsets = column.flatten().to_numpy(), column.offsets.to_numpy()
-            lists = [flat[a - offsets[0] : b - offsets[0]] for a, b in zip(offsets[:-1], offsets[1:])]
-            own = _learn(shared.value, rows["grade"].to_numpy(), lists, r)
-            change = own.weights - shared.value.weights
-            moved = np.flatnonzero(change)
-            columns = [[moved.tolist()], [change[moved].astype(float).tolist()], [own.thresholds.tolist()]]
-            return pa.table(columns, schema=pa.schema([("at", pa.list_(pa.int64())), ("change", pa.list_(pa.float64())), ("thresholds", pa.list_(pa.float64()))]))
-
-        got = parts.applyInArrow(learn, "at array<long>, change array<double>, thresholds array<double>").collect()
+        got = parts.applyInArrow(_learner(shared, r), "at array<long>, change array<double>, thresholds array<double>").collect()
         if not got:
             break
         weights = model.weights.astype(np.float64)
