@@ -14,8 +14,10 @@ every component has a point; the few texts that have one without are drawn again
 2. In each bucket the node with the least key is verified against the others, on whole
    texts. Verified pairs make components.
 3. Where a bucket holds several components, its nodes are compared by signature across
-   components, in blocks, and pairs that could reach the threshold are verified too.
-   So no link is lost because its two texts met at a leader that is like neither.
+   components, in blocks, and each node's nearest of other components are verified too, unless
+   they were before. This is repeated until a round finds no link, so a link is rarely lost
+   because its two texts met at a leader that is like neither. What is verified in a
+   round is in proportion to the nodes, also in a group of texts that are nearly alike.
 
 Hot groups: exact copies are one node; near copies cost one verification per node and
 bucket leader; step 3 is cut into pairs of blocks of BLOCK nodes, each a row of its own,
@@ -49,6 +51,8 @@ SIZE = BANDS * ROWS
 # Of 96 components, a pair of similarity 0.8 agrees in 77; under 58 is five deviations off.
 LEAST_EQUAL = 58
 BLOCK = 512
+# Of a node, the nearest of other components in a pair of blocks that one round verifies.
+NEAREST = 2
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -207,23 +211,30 @@ def _across(members: DataFrame) -> DataFrame:
 
     def unpack(side: pa.StructArray) -> tuple:
         keys, labels, n, sig = (side.field(i) for i in range(4))
-        names = np.unique(np.array(labels.to_pylist(), "S16"), return_inverse=True)
         sigs = np.frombuffer(b"".join(sig.to_pylist()), np.uint16).reshape(-1, SIZE)
-        return keys.to_pylist(), np.array(labels.to_pylist(), object), names, n.to_numpy(zero_copy_only=False), sigs
+        return keys.to_pylist(), np.array(labels.to_pylist(), object), n.to_numpy(zero_copy_only=False), sigs
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
             for left, right in zip(batch["left"], batch["right"]):
-                kl, ll, _, nl, sl = unpack(left.values)
-                kr, lr, _, nr, sr = unpack(right.values) if len(right) else (kl, ll, None, nl, sl)
-                for i in range(len(kl)):
-                    near = np.minimum(nl[i], nr) >= THRESHOLD * np.maximum(nl[i], nr)
-                    near &= lr != ll[i]
-                    near &= (sr == sl[i]).sum(axis=1) >= LEAST_EQUAL
-                    for j in np.flatnonzero(near):
-                        a.append(min(kl[i], kr[j]))
-                        b.append(max(kl[i], kr[j]))
+                kl, ll, nl, sl = unpack(left.values)
+                kr, lr, nr, sr = unpack(right.values) if len(right) else (kl, ll, nl, sl)
+                # Agreement of all left with all right nodes; 0 where it can't be a link.
+                equal = np.stack([(sr == x).sum(axis=1) for x in sl]) if len(sl) and len(sr) else np.zeros((0, 0), int)
+                if not equal.size:
+                    continue
+                low, high = np.minimum(nl[:, None], nr), np.maximum(nl[:, None], nr)
+                equal[(ll[:, None] == lr) | (low < THRESHOLD * high) | (equal < LEAST_EQUAL)] = 0
+                for _ in range(NEAREST):
+                    i, j = np.arange(len(kl)), equal.argmax(axis=1)
+                    y, x = np.arange(len(kr)), equal.argmax(axis=0)
+                    i, j = np.concatenate([i, x]), np.concatenate([j, y])
+                    ok = equal[i, j] > 0
+                    i, j = i[ok], j[ok]
+                    a += [min(kl[p], kr[q]) for p, q in zip(i, j)]
+                    b += [max(kl[p], kr[q]) for p, q in zip(i, j)]
+                    equal[i, j] = 0
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return grouped.select("left", "right").mapInArrow(scan, "a binary, b binary").distinct()
@@ -243,18 +254,24 @@ def classes(stored: DataFrame, text: str = "text") -> DataFrame:
         stored.select("_row", F.col(text).alias("_text")).join(candidates, "_row").select("_key", "_text"), "candidates"
     )
     star = members.where("_leader <> _key").select(F.col("_leader").alias("a"), F.col("_key").alias("b")).distinct()
+    star = keep(star, "pairs")
     links = keep(verified(star, texts), "links")
     labels = components(links)
-    named = members.join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
-        "_bucket", "_key", F.coalesce("label", "_key").alias("_label")
-    )
-    named = keep(named, "labelled-buckets")
-    # Only buckets with several components go on, and only they fetch signatures.
-    several = named.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low <> _high")
-    mixed_ = named.join(several.select("_bucket"), "_bucket").join(nodes.select("_key", "_n", "_sig"), "_key")
-    more = keep(verified(_across(mixed_), texts), "more-links")
-    if not more.isEmpty():
-        labels = components(links.union(more))
+    tried = star
+    while True:
+        named = members.join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
+            "_bucket", "_key", F.coalesce("label", "_key").alias("_label")
+        )
+        named = keep(named, "labelled-buckets")
+        # Only buckets with several components go on, and only they fetch signatures.
+        several = named.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low <> _high")
+        apart = named.join(several.select("_bucket"), "_bucket").join(nodes.select("_key", "_n", "_sig"), "_key")
+        pairs = keep(_across(apart).join(tried, ["a", "b"], "left_anti"), "pairs")
+        more = keep(verified(pairs, texts), "more-links")
+        if more.isEmpty():
+            break
+        links, tried = keep(links.union(more), "links"), keep(tried.union(pairs), "tried")
+        labels = components(links)
     return nodes.select("_key").join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
         "_key", F.coalesce("label", "_key").alias("_class")
     )
