@@ -12,6 +12,7 @@ from lodeworks.llm.host_rules import OP7_SQL, op7_host_rules
 from lodeworks.llm.html_text import op8_html_text
 from lodeworks.llm.mixing import op6_mixing
 from lodeworks.llm.near_dedup import op5_near_dedup
+from lodeworks.llm.suffix_dedup import op10_suffix_dedup
 from lodeworks.llm.token_shards import op1_token_shards
 from lodeworks.llm.url_filter import OP2_SQL, op2_url_filter
 from lodeworks.llm.warc import OP9_SQL, op9_warc
@@ -20,7 +21,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def registered() -> dict[str, Query]:
-    listed = [op1_token_shards, op2_url_filter, op3_decontaminate, op4_grading, op5_near_dedup, op6_mixing, op7_host_rules, op8_html_text, op9_warc]
+    listed = [op1_token_shards, op2_url_filter, op3_decontaminate, op4_grading, op5_near_dedup, op6_mixing, op7_host_rules, op8_html_text, op9_warc, op10_suffix_dedup]
     return {f.__name__: f for f in listed}
 
 
