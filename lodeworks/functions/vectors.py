@@ -32,7 +32,13 @@ def check_metric(metric: str) -> None:
 
 
 def matrix(column: pa.ListArray) -> np.ndarray:
-    """A batch of equally long vectors as a (rows, dims) array, without a copy."""
+    """A batch of equally long vectors as a (rows, dims) array, without a copy.
+
+    Rows of other lengths would shift all that follow, so they and NULLs are errors.
+    """
+    lengths = np.diff(column.offsets.to_numpy())
+    if column.null_count or (len(lengths) and (lengths != lengths[0]).any()) or column.values.null_count:
+        raise ValueError("vectors must have one length and no NULL")
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 

@@ -6,8 +6,8 @@ from lodeworks.operators.neighbors import lsh_family
 SUPPORT_SHARE = 0.06
 TOP_RULES = 5
 TOP_FRIENDS = 10
-# The ten users of the short friend report; they exist at every scale.
-REPORT_USERS = [24, 41, 42, 19, 20, 21, 22, 90, 92, 93]
+# The users of the short friend report: every 19th part from 15 on, below 200, the parts of the smallest scale.
+REPORT_USERS = list(range(15, 200, 19))
 # The rows used as search queries.
 QUERY_IDS = [99, 199, 299, 399, 499, 599, 699, 799, 899, 999]
 NEIGHBORS = 3

@@ -143,3 +143,14 @@ def test_hash_rows_with_any_functions(spark):
 
     found = nb.hash_rows(table(spark, [[1, 2, 3], [4, 5, 6]]), [total, squares])
     assert rows(found) == [(0, [6.0, 14.0]), (1, [15.0, 77.0])]
+
+
+def test_uneven_vectors_are_an_error():
+    import pyarrow as pa
+
+    from lodeworks.functions.vectors import matrix
+
+    assert matrix(pa.array([[1.0, 2.0], [3.0, 4.0]])).tolist() == [[1.0, 2.0], [3.0, 4.0]]
+    for rows in ([[1.0, 2.0, 3.0], [4.0]], [[1.0], None], [[None, 1.0], [2.0, 3.0]]):
+        with pytest.raises(ValueError):
+            matrix(pa.array(rows, pa.list_(pa.float64())))
