@@ -15,9 +15,11 @@ every component has a point; the few texts that have one without are drawn again
    texts. Verified pairs make components.
 3. Where a bucket holds several components, its nodes are compared by signature across
    components, in blocks, and each node's nearest of other components are verified too, unless
-   they were before. This is repeated until a round finds no link, so a link is rarely lost
-   because its two texts met at a leader that is like neither. What is verified in a
-   round is in proportion to the nodes, also in a group of texts that are nearly alike.
+   they were before. What is verified in such a round is in proportion to the nodes. The
+   rounds join most components that belong together, and end when one finds no link.
+4. All pairs of nodes that share a bucket, are still in different components, may reach
+   the threshold by signature and length, and were not verified yet, are verified. So
+   no link between texts that share a bucket is left to the choice of the nearest.
 
 Hot groups: exact copies are one node; near copies cost one verification per node and
 bucket leader; step 3 is cut into pairs of blocks of BLOCK nodes, each a row of its own,
@@ -188,10 +190,11 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -
     return pairs.join(second, "b").join(first, "a").select("a", "b", "ta", "tb").mapInArrow(scan, "a binary, b binary")
 
 
-def _across(members: DataFrame) -> DataFrame:
+def _across(members: DataFrame, nearest: int | None) -> DataFrame:
     """Pairs of nodes of one bucket and different components whose signatures allow the threshold.
 
-    `members`: `_bucket, _key, _label, _n, _sig`.
+    `members`: `_bucket, _key, _label, _n, _sig`. With `nearest` only as many of each node
+    in a pair of blocks, else all.
     """
     several = members.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_size"), F.min("_label").alias("_low"), F.max("_label").alias("_high")
@@ -216,8 +219,8 @@ def _across(members: DataFrame) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
             for left, right in zip(batch["left"], batch["right"]):
+                a, b = [], []
                 kl, ll, nl, sl = unpack(left.values)
                 kr, lr, nr, sr = unpack(right.values) if len(right) else (kl, ll, nl, sl)
                 # Agreement of all left with all right nodes; 0 where it can't be a link.
@@ -226,7 +229,11 @@ def _across(members: DataFrame) -> DataFrame:
                     continue
                 low, high = np.minimum(nl[:, None], nr), np.maximum(nl[:, None], nr)
                 equal[(ll[:, None] == lr) | (low < THRESHOLD * high) | (equal < LEAST_EQUAL)] = 0
-                for _ in range(NEAREST):
+                if nearest is None:
+                    i, j = np.nonzero(equal if len(right) else np.triu(equal))
+                    a = [min(kl[p], kr[q]) for p, q in zip(i, j)]
+                    b = [max(kl[p], kr[q]) for p, q in zip(i, j)]
+                for _ in range(nearest or 0):
                     i, j = np.arange(len(kl)), equal.argmax(axis=1)
                     y, x = np.arange(len(kr)), equal.argmax(axis=0)
                     i, j = np.concatenate([i, x]), np.concatenate([j, y])
@@ -235,7 +242,7 @@ def _across(members: DataFrame) -> DataFrame:
                     a += [min(kl[p], kr[q]) for p, q in zip(i, j)]
                     b += [max(kl[p], kr[q]) for p, q in zip(i, j)]
                     equal[i, j] = 0
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     return grouped.select("left", "right").mapInArrow(scan, "a binary, b binary").distinct()
 
@@ -257,7 +264,7 @@ def classes(stored: DataFrame, text: str = "text") -> DataFrame:
     star = keep(star, "pairs")
     links = keep(verified(star, texts), "links")
     labels = components(links)
-    tried = star
+    tried, nearest = star, NEAREST
     while True:
         named = members.join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
             "_bucket", "_key", F.coalesce("label", "_key").alias("_label")
@@ -266,12 +273,17 @@ def classes(stored: DataFrame, text: str = "text") -> DataFrame:
         # Only buckets with several components go on, and only they fetch signatures.
         several = named.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low <> _high")
         apart = named.join(several.select("_bucket"), "_bucket").join(nodes.select("_key", "_n", "_sig"), "_key")
-        pairs = keep(_across(apart).join(tried, ["a", "b"], "left_anti"), "pairs")
+        pairs = keep(_across(apart, nearest).join(tried, ["a", "b"], "left_anti"), "pairs")
         more = keep(verified(pairs, texts), "more-links")
-        if more.isEmpty():
+        found = not more.isEmpty()
+        if found:
+            links = keep(links.union(more), "links")
+            labels = components(links)
+        if nearest is None:
             break
-        links, tried = keep(links.union(more), "links"), keep(tried.union(pairs), "tried")
-        labels = components(links)
+        tried = keep(tried.union(pairs), "tried")
+        if not found:
+            nearest = None
     return nodes.select("_key").join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
         "_key", F.coalesce("label", "_key").alias("_class")
     )
