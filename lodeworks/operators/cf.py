@@ -22,8 +22,8 @@ DENSE_ROWS = 1024
 
 
 def _cells(seen: DataFrame) -> DataFrame:
-    """`user, item, r` without zero cells."""
-    return seen.select("user", "item", F.col("r").cast("double").alias("r")).where(F.col("r") != 0)
+    """`user, item, r` without zero cells; a cell listed more than once is the sum."""
+    return seen.groupBy("user", "item").agg(F.sum(F.col("r").cast("double")).alias("r")).where(F.col("r") != 0)
 
 
 def user_degree(seen: DataFrame) -> DataFrame:

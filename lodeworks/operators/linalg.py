@@ -69,7 +69,10 @@ def _eigen(vectors: DataFrame, k: int | None, vector: str) -> tuple[np.ndarray,
         return values[::-1][:k], _signed(columns[:, ::-1][:, :k])
     rows = vectors.select(vector).rdd.map(lambda r: Vectors.dense(r[0]))
     found = RowMatrix(rows).computeSVD(k)
-    return found.s.toArray() ** 2, _signed(found.V.toArray())
+    # Directions of singular value 0 are not found; any orthonormal rest stands for them, as below the limit.
+    values, columns = found.s.toArray() ** 2, found.V.toArray()
+    whole = np.linalg.qr(columns, mode="complete")[0][:, len(values) : k]
+    return np.pad(values, (0, k - len(values))), _signed(np.hstack([columns, whole]))
 
 
 def eigen_sym(vectors: DataFrame, k: int | None = None, vector: str = "v") -> DataFrame:

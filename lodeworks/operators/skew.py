@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 # task row holds at most two blocks.
 BLOCK_ROWS = 1024
 
-# The broadcast list of hot groups never has more rows than this. The largest
-# groups come first, so any group left out holds less than 1/MAX_HOT_GROUPS of
-# all rows.
-MAX_HOT_GROUPS = 20_000
-
 # Rows that one task of a growing step makes, about.
 ROWS_PER_PARTITION = 20_000_000
 
@@ -27,7 +22,7 @@ BROADCAST_ROWS = 500_000
 
 def is_small(rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether `rows` has at most `max_rows` rows; counting is a job of its own."""
-    return rows.limit(max_rows + 1).count() <= max_rows
+    return rows.count() <= max_rows
 
 
 def broadcast_if_small(rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -66,20 +61,21 @@ def group_sizes(rows: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_RO
 
     A job of its own: a count per group, combined before the shuffle. Most data
     has no hot group, and then the plan that makes the pairs needs no join and
-    no copies. Otherwise at most MAX_HOT_GROUPS rows come back.
+    no copies. Otherwise the hot groups stay a table, all of them; it is broadcast
+    if the job has counted few enough.
     """
     n = F.col("_n")
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = sizes.agg(
         F.sum(n * (n - 1) / 2).alias("pairs"),
         F.count(F.lit(1)).alias("groups"),
-        F.coalesce(F.max("_n"), F.lit(0)).alias("largest"),
+        F.count_if(n > block_rows).alias("hot"),
     ).first()
     pairs = float(total["pairs"] or 0)
-    if total["largest"] <= block_rows:
+    if not total["hot"]:
         return GroupSizes(None, pairs, total["groups"])
-    hot = sizes.where(n > block_rows).orderBy(F.desc("_n"), *keys).limit(MAX_HOT_GROUPS)
-    return GroupSizes(rows.sparkSession.createDataFrame(hot.collect(), hot.schema), pairs, total["groups"])
+    hot = sizes.where(n > block_rows)
+    return GroupSizes(F.broadcast(hot) if total["hot"] <= BROADCAST_ROWS else hot, pairs, total["groups"])
 
 
 def _blocks(
@@ -88,7 +84,7 @@ def _blocks(
     """`keys, _left, _right`: one row per pair of blocks; no `_right` within a block."""
     gather = F.collect_set if repeats else F.collect_list
     placed = (
-        rows.join(F.broadcast(sizes.hot), keys, "left")
+        rows.join(sizes.hot, keys, "left")
         .withColumn("_blocks", F.coalesce(F.ceil(F.col("_n") / block_rows), F.lit(1)).cast("int"))
         .select(
             *keys,

@@ -224,6 +224,18 @@ SELECT "user", item, round(score, {D}) AS score, rank FROM ranked WHERE rank <=
 """
 
 
+def _report(scores: str) -> str:
+    return f"""
+WITH {SEEN},
+exact AS (
+  SELECT "user", item, round(score, 9) AS score FROM {scores}
+  WHERE "user" IN ({_list(S.REPORT_CUSTOMERS)}) AND item < {S.REPORT_ITEMS}),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM exact)
+SELECT "user", item, s_name AS title, round(score, {D}) AS score, rank
+FROM ranked JOIN supplier ON s_suppkey = item WHERE rank <= {S.TOP_SCORES}
+"""
+
+
 def sql() -> dict[str, str]:
     market = f"WITH {MARKET}, {ITEMS}, {PAIRS}, {TRIPLES}, {RULES_1}, {RULES_2}"
     hashed = f"WITH {_hashed(ONE)}"
@@ -285,11 +297,13 @@ def sql() -> dict[str, str]:
         "user_degree": f'WITH {SEEN} SELECT "user", d FROM du',
         "item_degree": f"WITH {SEEN} SELECT item, d FROM di",
         "item_similarity": f"WITH {SEEN} SELECT i, j, round(sim, {D}) AS sim FROM si",
-        "user_similarity": f"WITH {SEEN} SELECT u, v, round(sim, {D}) AS sim FROM su WHERE u <= v",
+        "user_similarity": f"WITH {SEEN} SELECT u, v, round(sim, {D}) AS sim FROM su",
         "cf_scores_item": f'WITH {SEEN} SELECT "user", item, round(score, {D}) AS score FROM yi',
         "cf_scores_user": f'WITH {SEEN} SELECT "user", item, round(score, {D}) AS score FROM yu',
         "cf_top_n_item": _top("yi"),
         "cf_top_n_user": _top("yu"),
+        "recommendation_report_item": _report("yi"),
+        "recommendation_report_user": _report("yu"),
     }
     for metric in ("l1", "l2"):
         for init in S.FIRST_CENTROIDS:

@@ -245,7 +245,9 @@ def mf_objective(spark: SparkSession, sf: str) -> DataFrame:
 
 def mf_fit(spark: SparkSession, sf: str) -> DataFrame:
     ratings = inputs.ratings(spark, sf)
-    return factor.mf_fit(ratings, epochs=settings.EPOCHS, blocks=settings.MF_BLOCKS)[2]
+    return factor.mf_fit(
+        ratings, epochs=settings.EPOCHS, lr=settings.LEARNING_RATES[0], blocks=settings.MF_BLOCKS
+    )[2]
 
 
 def mf_lr_sweep(spark: SparkSession, sf: str) -> DataFrame:
@@ -275,8 +277,7 @@ def item_similarity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    # The table is symmetric; each unordered pair is listed once.
-    return _rounded(cf.user_similarity(inputs.seen(spark, sf), mirror=False), "sim")
+    return _rounded(cf.user_similarity(inputs.seen(spark, sf)), "sim")
 
 
 def cf_scores_item(spark: SparkSession, sf: str) -> DataFrame:
@@ -297,6 +298,23 @@ def cf_top_n_user(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(cf.cf_top_n(scores, settings.TOP_SCORES), "score")
 
 
+def _report(spark: SparkSession, sf: str, scores: DataFrame) -> DataFrame:
+    """The best of the report's items for each of its customers, by name."""
+    best = cf.cf_top_n(
+        scores, settings.TOP_SCORES, settings.REPORT_CUSTOMERS, F.col("item") < settings.REPORT_ITEMS
+    )
+    names = inputs.table(spark, sf, "supplier").select(F.col("s_suppkey").alias("item"), F.col("s_name").alias("title"))
+    return _rounded(best.join(names, "item"), "score")
+
+
+def recommendation_report_item(spark: SparkSession, sf: str) -> DataFrame:
+    return _report(spark, sf, cf.cf_scores_item(inputs.seen(spark, sf), settings.REPORT_CUSTOMERS))
+
+
+def recommendation_report_user(spark: SparkSession, sf: str) -> DataFrame:
+    return _report(spark, sf, cf.cf_scores_user(inputs.seen(spark, sf), settings.REPORT_CUSTOMERS))
+
+
 def registered() -> dict[str, Query]:
     plain = [
         mutual_friend_counts, non_friend_pairs, recommend_friends, recommend_friends_selected,
@@ -309,6 +327,7 @@ def registered() -> dict[str, Query]:
         rating_ranges, mf_init, mf_objective, mf_fit, mf_lr_sweep, mf_als,
         user_degree, item_degree, item_similarity, user_similarity,
         cf_scores_item, cf_scores_user, cf_top_n_item, cf_top_n_user,
+        recommendation_report_item, recommendation_report_user,
     ]
     found: dict[str, Query] = {f.__name__: f for f in plain}
     for metric in ("l1", "l2"):

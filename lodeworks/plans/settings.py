@@ -16,19 +16,23 @@ DIMS = 64
 FAMILY = lsh_family(k=10, L=10, dims=DIMS, lo=-0.1, hi=0.1, seed=11)
 SWEEP = {
     (k, L): lsh_family(k=k, L=L, dims=DIMS, lo=-0.1, hi=0.1, seed=100 * k + L)
-    for k, L in ((10, 10), (10, 14), (8, 10))
+    for k, L in [(10, L) for L in range(10, 21, 2)] + [(k, 10) for k in (6, 7, 8, 9, 11)]
 }
 
 FIRST_CENTROIDS = {"random": [0, 1, 2, 3, 4], "far": [0, 188, 291, 152, 366]}
-KMEANS_ITERS = 5
+KMEANS_ITERS = 20
 
 FACTORS = 20
 TOP_RATING = 5.0
 REG = 0.1
-LEARNING_RATES = (0.036, 0.018, 0.009)
+# From a rate that descends at every scale of the tables, each half of the one before.
+LEARNING_RATES = (0.009, 0.0045, 0.00225)
 EPOCHS = 3
 MF_BLOCKS = 2
 
 TOP_SCORES = 5
+# The recommendation report: every 9th customer from 10 on, and the items below a limit.
+REPORT_CUSTOMERS = list(range(10, 100, 9))
+REPORT_ITEMS = 100
 # Sums of doubles differ in the last digits with their order.
 DIGITS = 6
