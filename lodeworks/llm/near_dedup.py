@@ -9,26 +9,26 @@ first point in each component is the signature; two texts have the same one with
 probability of exactly their similarity. Times are drawn only up to a bound by which almost
 every component has a point; the few texts that have one without are drawn again, further.
 
-1. One pass makes, for each text, a key of its words, band hashes and a short signature.
-   Texts of the same words are one node.
-2. In each bucket the node with the least key is verified against the others, on whole
-   texts. Verified pairs make components.
-3. Where a bucket holds several components, its nodes are compared by signature across
-   components, in blocks, and each node's nearest of other components are verified too, unless
-   they were before. What is verified in such a round is in proportion to the nodes. The
-   rounds join most components that belong together, and end when one finds no link.
-4. All pairs of nodes that share a bucket, are still in different components, may reach
-   the threshold by signature and length, and were not verified yet, are verified. So
-   no link between texts that share a bucket is left to the choice of the nearest.
-
-Hot groups: exact copies are one node; near copies cost one verification per node and
-bucket leader; step 3 is cut into pairs of blocks of BLOCK nodes, each a row of its own,
-and gives only pairs across components. No bucket is capped.
+1. One pass makes, for each text, a key of its words and band hashes. Texts of the same words
+   are one node, a number.
+2. A bucket is the nodes with one band hash. Buckets of the same nodes are one, by their number and two sums
+   of hashes, 128 bits. Only nodes that share a bucket have their texts read again, for their shingles.
+3. A bucket is dealt into blocks by hash, of BLOCK nodes and BLOCK_BYTES of shingles at most, about.
+   Within a block the multiset overlap of all pairs is counted exactly, as products of 0/1 matrices over the
+   shingles that several nodes have; of the pairs that reach the threshold a spanning forest is
+   kept, so a block gives fewer links than it has nodes. Links make components.
+4. A bucket of several blocks deals its nodes by a seed of its own, so near nodes of many buckets meet
+   in some. Where it still has several components, its pairs of blocks are compared the same way,
+   unless both blocks are all of one component. So no pair that shares a bucket is left out.
+
+Hot groups: exact copies are one node; what is shuffled is in proportion to nodes and bands, but for
+step 4, and never a row for a pair. Step 4 grows with the square of the blocks of a bucket
+whose nodes are not all linked. No bucket is capped.
 
 Defined cases: NULL and empty texts, and those without words, are like nothing, not even each
 other; texts of fewer than five words have one shingle, all their words; rows that repeat
 are one group; a group's class id is its least doc_id, NULL if all are NULL; an empty table
-gives an empty table.
+gives an empty table; other columns may have any name.
 """
 
 from __future__ import annotations
@@ -37,12 +37,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodeworks.llm.byte_words import Words, mixed, runs, runs_at, words_of
-from lodeworks.llm.common import keep, scratch_path, sliced, table
+from lodeworks.llm.byte_words import Words, mixed, runs_at, words_of
+from lodeworks.llm.common import keep, scratch_path, sliced, small, table
 from lodeworks.llm.components import components
 
 SHINGLE = 5
@@ -50,11 +50,10 @@ THRESHOLD = 0.8
 # 24 bands of 4: two texts of similarity 0.8 share a bucket but for 3 cases in a million.
 BANDS, ROWS = 24, 4
 SIZE = BANDS * ROWS
-# Of 96 components, a pair of similarity 0.8 agrees in 77; under 58 is five deviations off.
-LEAST_EQUAL = 58
-BLOCK = 512
-# Of a node, the nearest of other components in a pair of blocks that one round verifies.
-NEAREST = 2
+# Nodes and bytes of shingles that a block of a bucket holds, about.
+BLOCK, BLOCK_BYTES = 512, 8 << 20
+# Shingles that one matrix product counts.
+COLUMNS = 4096
 _SALT = np.uint64(0xA0761D6478BD642F)
 
 
@@ -133,27 +132,29 @@ def _keys(words: Words, texts: int) -> list[bytes | None]:
 
 
 def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` with `_row`, `_key`, `_n`, `_bands` and `_sig`, stored."""
-    own = ["_row", "_key", "_n", "_bands", "_sig"]
-    rows = docs.drop(*own).withColumn("_row", F.monotonically_increasing_id())
-    kinds = {"_key": "binary", "_n": "bigint", "_bands": "array<bigint>", "_sig": "binary"}
+    """`_doc, _text, _row, _key, _n, _bands`, stored; `_doc` has the other columns of `docs`."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != text]
+    rows = docs.select(
+        (F.struct(*others) if others else F.lit(0)).alias("_doc"),
+        F.col(f"`{text}`").alias("_text"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    kinds = {"_key": "binary", "_n": "bigint", "_bands": "array<bigint>"}
     schema = T.StructType([*rows.schema, *[T.StructField(c, T._parse_datatype_string(k)) for c, k in kinds.items()]])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, text):
+        for batch in sliced(batches, "_text"):
             n = batch.num_rows
-            words = words_of(batch[text])
+            words = words_of(batch["_text"])
             owner, found, count = shingles(words, n)
             times = signatures(owner, found, count, n).view(np.uint64)
             bands = np.stack([runs_at(row, np.arange(0, SIZE, ROWS), ROWS) for row in times])
-            bands = mixed(bands + np.arange(BANDS, dtype=np.uint64))
+            bands = mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             keys = _keys(words, n)
-            brief = (mixed(times) & np.uint64(0xFFFF)).astype(np.uint16)
             new = [
                 pa.array(keys, pa.binary()),
                 pa.array(np.bincount(owner, count, n).astype(np.int64)),
-                pa.array([b.view(np.int64) if k else None for b, k in zip(bands, keys)], pa.list_(pa.int64())),
-                pa.array([b.tobytes() if k else None for b, k in zip(brief, keys)], pa.binary()),
+                pa.array([b if k else None for b, k in zip(bands, keys)], pa.list_(pa.int64())),
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema.names)
 
@@ -162,153 +163,183 @@ def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
     return docs.sparkSession.read.schema(schema).parquet(path)
 
 
-def similarity(a: np.ndarray, b: np.ndarray) -> float:
-    """Weighted Jaccard of two bags of shingles."""
-    x, nx = np.unique(a, return_counts=True)
-    y, ny = np.unique(b, return_counts=True)
-    _, i, j = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-    shared = int(np.minimum(nx[i], ny[j]).sum())
-    return shared / max(1, len(a) + len(b) - shared)
-
+def elements(words: Words, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Text and number of each shingle; the k-th time a text has it is a number of its own, so bags are sets."""
+    owner, found, count = shingles(words, texts)
+    again = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    return np.repeat(owner, count), mixed(np.repeat(found, count) + again.astype(np.uint64) * _SALT)
 
-def _bag(words: Words, i: int) -> np.ndarray:
-    own = words.hashes[words.first[i] : words.first[i + 1]]
-    return runs(own, min(SHINGLE, max(1, len(own))))
 
+def _bags(texts: DataFrame) -> DataFrame:
+    """`node, n, bag` from `_row, _text`: the elements of each text, eight bytes each."""
 
-def verified(pairs: DataFrame, texts: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The pairs `a, b` of keys whose whole texts reach the threshold, from `_key, _text`."""
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, "_text"):
+            owner, found = elements(words_of(batch["_text"]), batch.num_rows)
+            first = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+            bags = pa.Array.from_buffers(
+                pa.binary(), batch.num_rows, [None, pa.py_buffer((first * 8).astype(np.int32)), pa.py_buffer(found)]
+            )
+            yield pa.RecordBatch.from_arrays([batch["_row"], pa.array(np.diff(first)), bags], ["node", "n", "bag"])
+
+    return texts.select("_row", "_text").mapInArrow(scan, "node long, n long, bag binary")
+
+
+def alike(bags: list[np.ndarray], threshold: float) -> np.ndarray:
+    """Which pairs of sets of elements reach the threshold, as a matrix."""
+    sizes = np.array([len(b) for b in bags])
+    owner = np.repeat(np.arange(len(bags)), sizes)
+    _, column, counts = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    several = counts > 1
+    place = np.cumsum(several) - 1
+    on = several[column]
+    owner, column = owner[on], place[column[on]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    both = np.zeros((len(bags), len(bags)), np.float32)
+    for low in range(0, int(several.sum()), COLUMNS):
+        at = slice(*np.searchsorted(column, [low, low + COLUMNS]))
+        held = np.zeros((len(bags), COLUMNS), np.float32)
+        held[owner[at], column[at] - low] = 1
+        both += held @ held.T
+    either = sizes[:, None] + sizes - both.astype(np.float64)
+    return both / np.maximum(either, 1) >= threshold
+
+
+def forest(near: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join what `near` joins, fewer than nodes."""
+    waiting, links = np.ones(len(near), bool), []
+    for root in range(len(near)):
+        if waiting[root]:
+            waiting[root] = False
+            front = [root]
+            while front:
+                at = front.pop()
+                new = np.flatnonzero(near[at] & waiting)
+                waiting[new] = False
+                links += [(at, x) for x in new.tolist()]
+                front += new.tolist()
+    return links
+
+
+def _linked(rows: DataFrame, threshold: float) -> DataFrame:
+    """`a, b`: links within each group `_bucket, _lo, _hi` of `node, bag, label`; with two blocks, those across labels."""
+
+    def of_group(nodes: list, bags: list, labels: list, across: bool) -> pa.RecordBatch | None:
+        if len(nodes) < 2:
+            return None
+        near = alike([np.frombuffer(b, np.uint64) for b in bags], threshold)
+        if across:
+            label = np.array(labels)
+            near &= label[:, None] != label
+        links = forest(near)
+        if not links:
+            return None
+        a, b = np.array(nodes, np.int64)[np.array(links)].T
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, "tb"):
-            one, two = words_of(batch["ta"]), words_of(batch["tb"])
-            ok = [similarity(_bag(one, i), _bag(two, i)) >= threshold for i in range(batch.num_rows)]
-            yield batch.select(["a", "b"]).filter(pa.array(ok, pa.bool_()))
-
-    first = texts.select(F.col("_key").alias("a"), F.col("_text").alias("ta"))
-    second = texts.select(F.col("_key").alias("b"), F.col("_text").alias("tb"))
-    return pairs.join(second, "b").join(first, "a").select("a", "b", "ta", "tb").mapInArrow(scan, "a binary, b binary")
-
-
-def _across(members: DataFrame, nearest: int | None) -> DataFrame:
-    """Pairs of nodes of one bucket and different components whose signatures allow the threshold.
-
-    `members`: `_bucket, _key, _label, _n, _sig`. With `nearest` only as many of each node
-    in a pair of blocks, else all.
-    """
-    several = members.groupBy("_bucket").agg(
-        F.count(F.lit(1)).alias("_size"), F.min("_label").alias("_low"), F.max("_label").alias("_high")
-    ).where("_low <> _high")
-    blocks = F.ceil(F.col("_size") / BLOCK).cast("int")
-    placed = members.join(several.select("_bucket", "_size"), "_bucket").select(
-        "_bucket",
-        F.struct("_key", "_label", "_n", "_sig").alias("_node"),
-        F.pmod(F.xxhash64("_key"), blocks).cast("int").alias("_mine"),
-        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("_other"),
-    )
-    # A row for each pair of blocks; each holds 2 * BLOCK nodes or so.
-    grouped = placed.groupBy("_bucket", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi")).agg(
-        F.collect_list(F.when(F.col("_mine") <= F.col("_other"), F.col("_node"))).alias("left"),
-        F.collect_list(F.when(F.col("_mine") > F.col("_other"), F.col("_node"))).alias("right"),
+        group, held = None, ([], [], [])
+        for batch in batches:
+            keys = zip(*(batch[c].to_pylist() for c in ("_bucket", "_lo", "_hi")))
+            rows = zip(*(batch[c].to_pylist() for c in ("node", "bag", "label")))
+            for key, row in zip(keys, rows):
+                if key != group:
+                    if group is not None and (out := of_group(*held, group[1] < group[2])) is not None:
+                        yield out
+                    group, held = key, ([], [], [])
+                for column, value in zip(held, row):
+                    column.append(value)
+        if group is not None and (out := of_group(*held, group[1] < group[2])) is not None:
+            yield out
+
+    key = ["_bucket", "_lo", "_hi"]
+    dealt = rows.select(*key, "node", "bag", "label").repartition(*key).sortWithinPartitions(*key)
+    return dealt.mapInArrow(scan, "a long, b long")
+
+
+def _buckets(nodes: DataFrame) -> DataFrame:
+    """`_bucket, _blocks` of the buckets with several nodes, one of those with the same ones."""
+    own = F.xxhash64("node")
+    sizes = nodes.select("node", "_n", F.explode("_bands").alias("_bucket")).groupBy("_bucket").agg(
+        F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_total"), F.bit_xor(own).alias("_x"),
+        F.bit_xor(F.xxhash64(own, F.lit(1))).alias("_y"),
     )
+    once = sizes.where("_size > 1").groupBy("_size", "_total", "_x", "_y").agg(F.min("_bucket").alias("_bucket"))
+    blocks = F.greatest(F.ceil(F.col("_size") / BLOCK), F.ceil(F.col("_total") * 8 / BLOCK_BYTES)).cast("int")
+    return once.select("_bucket", blocks.alias("_blocks"))
 
-    def unpack(side: pa.StructArray) -> tuple:
-        keys, labels, n, sig = (side.field(i) for i in range(4))
-        sigs = np.frombuffer(b"".join(sig.to_pylist()), np.uint16).reshape(-1, SIZE)
-        return keys.to_pylist(), np.array(labels.to_pylist(), object), n.to_numpy(zero_copy_only=False), sigs
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for left, right in zip(batch["left"], batch["right"]):
-                a, b = [], []
-                kl, ll, nl, sl = unpack(left.values)
-                kr, lr, nr, sr = unpack(right.values) if len(right) else (kl, ll, nl, sl)
-                # Agreement of all left with all right nodes; 0 where it can't be a link.
-                equal = np.stack([(sr == x).sum(axis=1) for x in sl]) if len(sl) and len(sr) else np.zeros((0, 0), int)
-                if not equal.size:
-                    continue
-                low, high = np.minimum(nl[:, None], nr), np.maximum(nl[:, None], nr)
-                equal[(ll[:, None] == lr) | (low < THRESHOLD * high) | (equal < LEAST_EQUAL)] = 0
-                if nearest is None:
-                    i, j = np.nonzero(equal if len(right) else np.triu(equal))
-                    a = [min(kl[p], kr[q]) for p, q in zip(i, j)]
-                    b = [max(kl[p], kr[q]) for p, q in zip(i, j)]
-                for _ in range(nearest or 0):
-                    i, j = np.arange(len(kl)), equal.argmax(axis=1)
-                    y, x = np.arange(len(kr)), equal.argmax(axis=0)
-                    i, j = np.concatenate([i, x]), np.concatenate([j, y])
-                    ok = equal[i, j] > 0
-                    i, j = i[ok], j[ok]
-                    a += [min(kl[p], kr[q]) for p, q in zip(i, j)]
-                    b += [max(kl[p], kr[q]) for p, q in zip(i, j)]
-                    equal[i, j] = 0
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    return grouped.select("left", "right").mapInArrow(scan, "a binary, b binary").distinct()
-
-
-def classes(stored: DataFrame, text: str = "text") -> DataFrame:
-    """`_key, _class` for the keys of what `sketched` gives: the least key of each component."""
+def classes(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """`_key, _class` for the keys of what `sketched` gives: the least node of each component."""
     nodes = stored.where(F.col("_key").isNotNull()).groupBy("_key").agg(
-        F.min("_row").alias("_row"), F.first(F.struct("_n", "_bands", "_sig")).alias("_own")
+        F.min("_row").alias("node"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands")
     )
-    nodes = keep(nodes.select("_key", "_row", "_own.*"), "nodes")
-    placed = nodes.select("_key", F.explode("_bands").alias("_bucket"))
-    shared = placed.groupBy("_bucket").agg(F.min("_key").alias("_leader"), F.count(F.lit(1)).alias("_size"))
-    members = keep(placed.join(shared.where("_size > 1").drop("_size"), "_bucket"), "buckets")
-    candidates = members.select("_key").distinct().join(nodes.select("_key", "_row"), "_key")
-    texts = keep(
-        stored.select("_row", F.col(text).alias("_text")).join(candidates, "_row").select("_key", "_text"), "candidates"
-    )
-    star = members.where("_leader <> _key").select(F.col("_leader").alias("a"), F.col("_key").alias("b")).distinct()
-    star = keep(star, "pairs")
-    links = keep(verified(star, texts), "links")
+    nodes = keep(nodes, "nodes")
+    buckets = keep(_buckets(nodes), "buckets")
+    members = nodes.select("node", F.explode("_bands").alias("_bucket")).join(small(buckets), "_bucket")
+    block = F.pmod(F.xxhash64("node", "_bucket"), F.col("_blocks")).cast("int")
+    members = keep(members.select("_bucket", "_blocks", "node", block.alias("_mine")), "members")
+    candidates = small(members.select(F.col("node").alias("_row")).distinct())
+    bags = keep(_bags(stored.select("_row", "_text").join(candidates, "_row")), "bags")
+    alone = members.select("_bucket", F.col("_mine").alias("_lo"), F.col("_mine").alias("_hi"), "node", F.lit(0).cast("long").alias("label"))
+    links = keep(_linked(alone.join(bags, "node"), threshold), "links")
     labels = components(links)
-    tried, nearest = star, NEAREST
-    while True:
-        named = members.join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
-            "_bucket", "_key", F.coalesce("label", "_key").alias("_label")
+    # Buckets of several blocks that still have several components.
+    named = members.where("_blocks > 1").join(labels, "node", "left")
+    named = keep(named.select("_bucket", "_blocks", "node", "_mine", F.coalesce("label", "node").alias("label")), "labelled")
+    several = named.groupBy("_bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
+    apart = named.join(several.select("_bucket"), "_bucket")
+    if not apart.isEmpty():
+        of_block = apart.groupBy("_bucket", F.col("_mine").alias("_other")).agg(
+            F.min("label").alias("_low"), F.max("label").alias("_high")
         )
-        named = keep(named, "labelled-buckets")
-        # Only buckets with several components go on, and only they fetch signatures.
-        several = named.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high")).where("_low <> _high")
-        apart = named.join(several.select("_bucket"), "_bucket").join(nodes.select("_key", "_n", "_sig"), "_key")
-        pairs = keep(_across(apart, nearest).join(tried, ["a", "b"], "left_anti"), "pairs")
-        more = keep(verified(pairs, texts), "more-links")
-        found = not more.isEmpty()
-        if found:
-            links = keep(links.union(more), "links")
-            labels = components(links)
-        if nearest is None:
-            break
-        tried = keep(tried.union(pairs), "tried")
-        if not found:
-            nearest = None
-    return nodes.select("_key").join(labels.withColumnRenamed("node", "_key"), "_key", "left").select(
-        "_key", F.coalesce("label", "_key").alias("_class")
-    )
+        across = apart.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_mine <> _other")
+        across = across.withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")})
+        one = of_block.select("_bucket", F.col("_other").alias("_lo"), F.col("_low").alias("_l0"), F.col("_high").alias("_h0"))
+        two = of_block.select("_bucket", F.col("_other").alias("_hi"), F.col("_low").alias("_l1"), F.col("_high").alias("_h1"))
+        across = across.join(one, ["_bucket", "_lo"]).join(two, ["_bucket", "_hi"])
+        across = across.where("least(_l0, _l1) < greatest(_h0, _h1)")
+        more = keep(_linked(across.select("_bucket", "_lo", "_hi", "node", "label").join(bags, "node"), threshold), "more-links")
+        if not more.isEmpty():
+            labels = components(links.union(more))
+    return nodes.select("_key", "node").join(labels, "node", "left").select("_key", F.coalesce("label", "node").alias("_class"))
+
+
+def _classed(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
+    """What `sketched` gives, and `_row, _class` of its rows; those without words have no class."""
+    stored = sketched(docs, text)
+    return stored, keep(stored.select("_row", "_key").join(classes(stored), "_key", "left").select("_row", "_class"), "classes")
+
+
+def _back(docs: DataFrame, text: str) -> list[Column]:
+    """The columns of `docs` again."""
+    return [F.col("_text").alias(c) if c == text else F.col("_doc").getField(c).alias(c) for c in docs.columns]
 
 
 def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
-    """What `sketched` gives with `_class`; rows without words have none."""
-    stored = sketched(docs, text)
-    named = keep(classes(stored, text), "classes")
-    return stored.join(named, "_key", "left").drop("_bands", "_sig", "_n")
+    """`docs` with `_class`, a number for each group; rows without words have none."""
+    docs = docs.drop("_class")
+    stored, named = _classed(docs, text)
+    return stored.join(named, "_row").select(*_back(docs, text), "_class")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each group, that with the least doc_id; NULL is the largest."""
-    rows = grouped(docs, text)
-    best = rows.where(F.col("_class").isNotNull()).groupBy("_class").agg(
-        F.min(F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col("_row"))).alias("_best")
+    stored, named = _classed(docs, text)
+    rows = named.where(F.col("_class").isNotNull()).join(stored.select("_row", F.col("_doc").getField(doc_id).alias("_id")), "_row")
+    best = rows.groupBy("_class").agg(
+        F.count(F.lit(1)).alias("_of"), F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_best")
     )
-    others = rows.join(best.select(F.col("_best._row").alias("_kept")), F.col("_row") == F.col("_kept"), "left")
-    return others.where(F.col("_class").isNull() | F.col("_kept").isNotNull()).select(docs.columns)
+    best = best.where("_of > 1").select("_class", F.col("_best._row").alias("_kept"))
+    gone = keep(rows.join(best, "_class").where("_row <> _kept").select("_row"), "copies")
+    return stored.join(small(gone), "_row", "left_anti").select(_back(docs, text))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = grouped(docs).select("doc_id", F.coalesce("_class", F.concat(F.lit("row "), F.col("_row")).cast("binary")).alias("_class"))
-    rows = keep(rows, "near-groups")
+    stored, named = _classed(docs, "text")
+    ids = stored.select("_row", F.col("_doc.doc_id").alias("doc_id"))
+    rows = keep(ids.join(named, "_row").select("doc_id", F.coalesce("_class", -1 - F.col("_row")).alias("_class")), "near-groups")
     sizes = rows.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_docs"))
     return rows.join(sizes, "_class").select("doc_id", "class_id", "class_docs")

@@ -233,6 +233,61 @@ def test_near_duplicates_against_brute_force(spark):
     assert near_dedup.grouped(no_docs(spark)).count() == 0
 
 
+def group_of_copies(n, words=120):
+    """Copies of one text with up to two of five words changed: a mixed group, some of it alike, some not."""
+    draw, base = np.random.default_rng(n), prose(77, words).split()
+    texts = []
+    for k in range(n):
+        copy = list(base)
+        for at in draw.integers(0, words, draw.integers(0, words // 14)):
+            copy[at] = f"y{k}z{at}"
+        texts.append(" ".join(copy))
+    return texts
+
+
+def plain_classes(texts):
+    """Components by a plain loop over all pairs."""
+    bags, above = [bag(t) for t in texts], list(range(len(texts)))
+
+    def top(i):
+        while above[i] != i:
+            i = above[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if top(i) != top(j) and alike(bags[i], bags[j]) >= 0.8:
+                above[top(i)] = top(j)
+    return [top(i) for i in range(len(texts))]
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_a_hot_bucket_in_blocks_loses_no_link(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    texts = group_of_copies(220)
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, t in enumerate(texts)], "doc_id bigint, text string, _class string, _row string")
+    got = [r["_class"] for r in near_dedup.grouped(docs).orderBy("doc_id").collect()]
+    expected = plain_classes(texts)
+    assert len(set(expected)) > 5 and len(set(zip(got, expected))) == len(set(got)) == len(set(expected))
+    kept = near_dedup.deduplicated(docs)
+    assert kept.columns == docs.columns and kept.count() == len(set(expected)) and kept.where("_class <> 'x' or _row <> 'y'").count() == 0
+
+
+def test_a_hot_bucket_makes_few_links(spark):
+    texts = spark.createDataFrame([(i, t) for i, t in enumerate(group_of_copies(2000, 60))], "_row bigint, _text string")
+    rows = near_dedup._bags(texts).selectExpr("1 as _bucket", "node % 4 as _lo", "node % 4 as _hi", "node", "bag", "0L as label")
+    assert near_dedup._linked(rows, 0.8).count() < 2000
+
+
+def test_overlap_of_bags_is_exact():
+    texts = [*group_of_copies(40, 30), "a b c d e " * 30, "a b c d e " * 20, "a b", "a b", "b a"]
+    owner, found = near_dedup.elements(words_of(pa.array(texts)), len(texts))
+    near = near_dedup.alike([np.sort(found[owner == i]) for i in range(len(texts))], 0.8)
+    assert near.tolist() == [[alike(bag(a), bag(b)) >= 0.8 for b in texts] for a in texts]
+    links = near_dedup.forest(near & ~np.eye(len(texts), dtype=bool))
+    assert len(links) == len(texts) - len(set(plain_classes(texts)))
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(f"{i:03}", f"{i + 1:03}") for i in range(40)] + [("500", f"{i}") for i in range(600, 640)]
     got = {r["node"]: r["label"] for r in components(spark.createDataFrame(edges, "a string, b string")).collect()}
