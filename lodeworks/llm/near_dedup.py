@@ -17,7 +17,8 @@ every component has a point; the few texts that have one without are drawn again
    Within a block the multiset overlap of all pairs is counted exactly, as products of 0/1 matrices over the
    shingles that several nodes have; of the pairs that reach the threshold a spanning forest is
    kept, so a block gives fewer links than it has nodes. Links make components.
-4. A bucket of several blocks deals its nodes by a seed of its own, so near nodes of many buckets meet
+4. That is done for the first bands, and then for the others' buckets that have nodes of several components.
+   A bucket of several blocks deals its nodes by a seed of its own, so near nodes of many buckets meet
    in some. Where it still has several components, its pairs of blocks are compared the same way,
    unless both blocks are all of one component. So no pair that shares a bucket is left out.
 
@@ -50,6 +51,8 @@ THRESHOLD = 0.8
 # 24 bands of 4: two texts of similarity 0.8 share a bucket but for 3 cases in a million.
 BANDS, ROWS = 24, 4
 SIZE = BANDS * ROWS
+# The bands that are compared first; the others only where these leave several components.
+FIRST_BANDS = 8
 # Nodes and bytes of shingles that a block of a bucket holds, about.
 BLOCK, BLOCK_BYTES = 512, 8 << 20
 # Shingles that one matrix product counts.
@@ -223,16 +226,14 @@ def forest(near: np.ndarray) -> list[tuple[int, int]]:
 
 
 def _linked(rows: DataFrame, threshold: float) -> DataFrame:
-    """`a, b`: links within each group `_bucket, _lo, _hi` of `node, bag, label`; with two blocks, those across labels."""
+    """`a, b`: links across labels in each group `_bucket, _lo, _hi` of `node, bag, label`."""
 
-    def of_group(nodes: list, bags: list, labels: list, across: bool) -> pa.RecordBatch | None:
-        if len(nodes) < 2:
+    def of_group(nodes: list, bags: list, labels: list) -> pa.RecordBatch | None:
+        label = np.array(labels)
+        if not len(label) or (label == label[0]).all():
             return None
         near = alike([np.frombuffer(b, np.uint64) for b in bags], threshold)
-        if across:
-            label = np.array(labels)
-            near &= label[:, None] != label
-        links = forest(near)
+        links = forest(near & (label[:, None] != label))
         if not links:
             return None
         a, b = np.array(nodes, np.int64)[np.array(links)].T
@@ -245,12 +246,12 @@ def _linked(rows: DataFrame, threshold: float) -> DataFrame:
             rows = zip(*(batch[c].to_pylist() for c in ("node", "bag", "label")))
             for key, row in zip(keys, rows):
                 if key != group:
-                    if group is not None and (out := of_group(*held, group[1] < group[2])) is not None:
+                    if (out := of_group(*held)) is not None:
                         yield out
                     group, held = key, ([], [], [])
                 for column, value in zip(held, row):
                     column.append(value)
-        if group is not None and (out := of_group(*held, group[1] < group[2])) is not None:
+        if (out := of_group(*held)) is not None:
             yield out
 
     key = ["_bucket", "_lo", "_hi"]
@@ -258,51 +259,64 @@ def _linked(rows: DataFrame, threshold: float) -> DataFrame:
     return dealt.mapInArrow(scan, "a long, b long")
 
 
-def _buckets(nodes: DataFrame) -> DataFrame:
-    """`_bucket, _blocks` of the buckets with several nodes, one of those with the same ones."""
+def _buckets(placed: DataFrame) -> DataFrame:
+    """`_bucket, _blocks` of the buckets of `_bucket, node, _n, label` with several labels, one of those with the same nodes."""
     own = F.xxhash64("node")
-    sizes = nodes.select("node", "_n", F.explode("_bands").alias("_bucket")).groupBy("_bucket").agg(
+    sizes = placed.groupBy("_bucket").agg(
         F.count(F.lit(1)).alias("_size"), F.sum("_n").alias("_total"), F.bit_xor(own).alias("_x"),
-        F.bit_xor(F.xxhash64(own, F.lit(1))).alias("_y"),
+        F.bit_xor(F.xxhash64(own, F.lit(1))).alias("_y"), F.min("label").alias("_low"), F.max("label").alias("_high"),
     )
-    once = sizes.where("_size > 1").groupBy("_size", "_total", "_x", "_y").agg(F.min("_bucket").alias("_bucket"))
+    once = sizes.where("_low < _high").groupBy("_size", "_total", "_x", "_y").agg(F.min("_bucket").alias("_bucket"))
     blocks = F.greatest(F.ceil(F.col("_size") / BLOCK), F.ceil(F.col("_total") * 8 / BLOCK_BYTES)).cast("int")
     return once.select("_bucket", blocks.alias("_blocks"))
 
 
+def _across(members: DataFrame) -> DataFrame:
+    """`_bucket, _lo, _hi, node, label`: the nodes of each pair of blocks that are not all of one component."""
+    spread = members.groupBy("_bucket", "_mine").agg(F.min("label").alias("_low"), F.max("label").alias("_high"))
+    rows = members.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_mine <> _other")
+    rows = rows.withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")})
+    for side, name in (("_lo", "0"), ("_hi", "1")):
+        own = spread.select("_bucket", F.col("_mine").alias(side), F.col("_low").alias(f"_l{name}"), F.col("_high").alias(f"_h{name}"))
+        rows = rows.join(own, ["_bucket", side])
+    return rows.where("least(_l0, _l1) < greatest(_h0, _h1)").select("_bucket", "_lo", "_hi", "node", "label")
+
+
 def classes(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """`_key, _class` for the keys of what `sketched` gives: the least node of each component."""
-    nodes = stored.where(F.col("_key").isNotNull()).groupBy("_key").agg(
-        F.min("_row").alias("node"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands")
+    nodes = keep(
+        stored.where(F.col("_key").isNotNull()).groupBy("_key").agg(
+            F.min("_row").alias("node"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands")
+        ),
+        "nodes",
     )
-    nodes = keep(nodes, "nodes")
-    buckets = keep(_buckets(nodes), "buckets")
-    members = nodes.select("node", F.explode("_bands").alias("_bucket")).join(small(buckets), "_bucket")
-    block = F.pmod(F.xxhash64("node", "_bucket"), F.col("_blocks")).cast("int")
-    members = keep(members.select("_bucket", "_blocks", "node", block.alias("_mine")), "members")
-    candidates = small(members.select(F.col("node").alias("_row")).distinct())
-    bags = keep(_bags(stored.select("_row", "_text").join(candidates, "_row")), "bags")
-    alone = members.select("_bucket", F.col("_mine").alias("_lo"), F.col("_mine").alias("_hi"), "node", F.lit(0).cast("long").alias("label"))
-    links = keep(_linked(alone.join(bags, "node"), threshold), "links")
-    labels = components(links)
-    # Buckets of several blocks that still have several components.
-    named = members.where("_blocks > 1").join(labels, "node", "left")
-    named = keep(named.select("_bucket", "_blocks", "node", "_mine", F.coalesce("label", "node").alias("label")), "labelled")
-    several = named.groupBy("_bucket").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low < _high")
-    apart = named.join(several.select("_bucket"), "_bucket")
-    if not apart.isEmpty():
-        of_block = apart.groupBy("_bucket", F.col("_mine").alias("_other")).agg(
-            F.min("label").alias("_low"), F.max("label").alias("_high")
-        )
-        across = apart.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).where("_mine <> _other")
-        across = across.withColumns({"_lo": F.least("_mine", "_other"), "_hi": F.greatest("_mine", "_other")})
-        one = of_block.select("_bucket", F.col("_other").alias("_lo"), F.col("_low").alias("_l0"), F.col("_high").alias("_h0"))
-        two = of_block.select("_bucket", F.col("_other").alias("_hi"), F.col("_low").alias("_l1"), F.col("_high").alias("_h1"))
-        across = across.join(one, ["_bucket", "_lo"]).join(two, ["_bucket", "_hi"])
-        across = across.where("least(_l0, _l1) < greatest(_h0, _h1)")
-        more = keep(_linked(across.select("_bucket", "_lo", "_hi", "node", "label").join(bags, "node"), threshold), "more-links")
-        if not more.isEmpty():
-            labels = components(links.union(more))
+    links = labels = None
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        if labels is None:
+            return rows.withColumn("label", F.col("node"))
+        return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+    def add(rows: DataFrame) -> None:
+        nonlocal links, labels
+        found = keep(_linked(rows.join(bags, "node"), threshold), "links")
+        if links is None or not found.isEmpty():
+            links = found if links is None else links.union(found)
+            labels = components(links)
+
+    for first, bands in ((0, FIRST_BANDS), (FIRST_BANDS, BANDS - FIRST_BANDS)):
+        placed = labelled(nodes.select("node", "_n", F.slice("_bands", first + 1, bands).alias("_bands")))
+        placed = placed.select("node", "_n", "label", F.explode("_bands").alias("_bucket"))
+        buckets = keep(_buckets(placed), "buckets")
+        mine = F.pmod(F.xxhash64("node", "_bucket"), F.col("_blocks")).cast("int")
+        members = keep(placed.join(small(buckets), "_bucket").select("_bucket", "_blocks", "node", "label", mine.alias("_mine")), "members")
+        candidates = small(members.select(F.col("node").alias("_row")).distinct())
+        bags = keep(_bags(stored.select("_row", "_text").join(candidates, "_row")), "bags")
+        add(members.select("_bucket", F.col("_mine").alias("_lo"), F.col("_mine").alias("_hi"), "node", "label"))
+        # Buckets of several blocks that still have several components.
+        apart = keep(_across(labelled(members.where("_blocks > 1").drop("label"))), "across")
+        if not apart.isEmpty():
+            add(apart)
     return nodes.select("_key", "node").join(labels, "node", "left").select("_key", F.coalesce("label", "node").alias("_class"))
 
 
