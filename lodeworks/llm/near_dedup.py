@@ -305,8 +305,10 @@ def classes(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             labels = components(links)
 
     for first, bands in ((0, FIRST_BANDS), (FIRST_BANDS, BANDS - FIRST_BANDS)):
-        placed = labelled(nodes.select("node", "_n", F.slice("_bands", first + 1, bands).alias("_bands")))
-        placed = placed.select("node", "_n", "label", F.explode("_bands").alias("_bucket"))
+        placed = nodes.select("node", "_n", F.explode(F.slice("_bands", first + 1, bands)).alias("_bucket"))
+        # Most buckets have one node; a count shuffles little, and only what is left goes on.
+        shared = keep(placed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_size")).where("_size > 1").select("_bucket"), "shared")
+        placed = labelled(keep(placed.join(small(shared), "_bucket"), "shared-nodes"))
         buckets = keep(_buckets(placed), "buckets")
         mine = F.pmod(F.xxhash64("node", "_bucket"), F.col("_blocks")).cast("int")
         members = keep(placed.join(small(buckets), "_bucket").select("_bucket", "_blocks", "node", "label", mine.alias("_mine")), "members")
