@@ -11,9 +11,9 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.operators.checkpoints import discard, scratch_path, store
+from lodeworks.operators.checkpoints import discard, scratch_path
 
-__all__ = ["discard", "keep", "let", "scratch_path", "sliced", "small", "table"]
+__all__ = ["Scratch", "discard", "keep", "let", "scratch_path", "sliced", "small", "table"]
 
 # Rows of a table that may be broadcast, each of a few dozen bytes.
 BROADCAST_ROWS = 200_000
@@ -25,7 +25,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def keep(rows: DataFrame, name: str) -> DataFrame:
     """`rows` as a table in the shared folder: computed once, and lost executors cost nothing."""
-    return store(rows, scratch_path(rows.sparkSession, name))
+    return _stored(rows, scratch_path(rows.sparkSession, name))
+
+
+def _stored(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
+class Scratch:
+    """Tables that one computation keeps, and deletes when its result is stored."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, []
+
+    def keep(self, rows: DataFrame, name: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, name))
+        return _stored(rows, self.paths[-1])
+
+    def clear(self) -> None:
+        while self.paths:
+            discard(self.spark, self.paths.pop())
 
 
 def small(rows: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import keep
+from lodeworks.llm.common import keep as kept
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
     """`node, label` for every node of the edges `a, b`: the least node of its component.
 
     Labels sink along edges, and each then jumps to its label's label, so the number of
     rounds is about the logarithm of the longest path. Every round is a stored table;
-    a hub's edges are combined before they are shuffled.
+    a hub's edges are combined before they are shuffled. `keep` stores a table.
     """
     both = keep(
         edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct(),

@@ -119,12 +119,14 @@ def host_verdicts(judged: DataFrame, host: str = "source", max_rate: float = MAX
     )
 
 
-def judge(judged: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE) -> DataFrame:
+def judge(
+    judged: DataFrame, host: str = "source", max_rate: float = MAX_HOST_RATE, verdicts: DataFrame | None = None
+) -> DataFrame:
     """What `measured` gives, with host verdicts joined back, and `kept`.
 
-    `judged` is read twice, so pass a stored table.
+    Without `verdicts`, `judged` is read twice, so pass a stored table.
     """
-    verdicts = small(host_verdicts(judged, host, max_rate))
+    verdicts = small(host_verdicts(judged, host, max_rate) if verdicts is None else verdicts)
     joined = judged.drop("host_docs", "host_failed", "host_rejected")
     joined = joined.join(verdicts, joined[host].eqNullSafe(verdicts["_host"]), "left").drop("_host")
     return joined.withColumn("kept", ~F.col("base_failed") & ~F.col("host_rejected"))

@@ -34,7 +34,7 @@ gives an empty table; other columns may have any name.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +43,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.llm.byte_words import Words, mixed, runs_at, words_of
-from lodeworks.llm.common import keep, scratch_path, sliced, small, table
+from lodeworks.llm.common import Scratch, scratch_path, sliced, small, table
+from lodeworks.llm.common import keep as kept
 from lodeworks.llm.components import components
 
 SHINGLE = 5
@@ -282,7 +283,7 @@ def _across(members: DataFrame) -> DataFrame:
     return rows.where("least(_l0, _l1) < greatest(_h0, _h1)").select("_bucket", "_lo", "_hi", "node", "label")
 
 
-def classes(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+def classes(stored: DataFrame, threshold: float = THRESHOLD, keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
     """`_key, _class` for the keys of what `sketched` gives: the least node of each component."""
     nodes = keep(
         stored.where(F.col("_key").isNotNull()).groupBy("_key").agg(
@@ -302,7 +303,7 @@ def classes(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         found = keep(_linked(rows.join(bags, "node"), threshold), "links")
         if links is None or not found.isEmpty():
             links = found if links is None else links.union(found)
-            labels = components(links)
+            labels = components(links, keep)
 
     for first, bands in ((0, FIRST_BANDS), (FIRST_BANDS, BANDS - FIRST_BANDS)):
         placed = nodes.select("node", "_n", F.explode(F.slice("_bands", first + 1, bands)).alias("_bucket"))
@@ -324,8 +325,11 @@ def classes(stored: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def _classed(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
     """What `sketched` gives, and `_row, _class` of its rows; those without words have no class."""
-    stored = sketched(docs, text)
-    return stored, keep(stored.select("_row", "_key").join(classes(stored), "_key", "left").select("_row", "_class"), "classes")
+    stored, scratch = sketched(docs, text), Scratch(docs.sparkSession)
+    found = classes(stored, keep=scratch.keep)
+    named = kept(stored.select("_row", "_key").join(found, "_key", "left").select("_row", "_class"), "classes")
+    scratch.clear()
+    return stored, named
 
 
 def _back(docs: DataFrame, text: str) -> list[Column]:
@@ -348,7 +352,7 @@ def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
         F.count(F.lit(1)).alias("_of"), F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_best")
     )
     best = best.where("_of > 1").select("_class", F.col("_best._row").alias("_kept"))
-    gone = keep(rows.join(best, "_class").where("_row <> _kept").select("_row"), "copies")
+    gone = kept(rows.join(best, "_class").where("_row <> _kept").select("_row"), "copies")
     return stored.join(small(gone), "_row", "left_anti").select(_back(docs, text))
 
 
@@ -356,6 +360,6 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     stored, named = _classed(docs, "text")
     ids = stored.select("_row", F.col("_doc.doc_id").alias("doc_id"))
-    rows = keep(ids.join(named, "_row").select("doc_id", F.coalesce("_class", -1 - F.col("_row")).alias("_class")), "near-groups")
+    rows = kept(ids.join(named, "_row").select("doc_id", F.coalesce("_class", -1 - F.col("_row")).alias("_class")), "near-groups")
     sizes = rows.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_docs"))
     return rows.join(sizes, "_class").select("doc_id", "class_id", "class_docs")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from lodeworks.llm.common import keep, scratch_path, table
 from lodeworks.llm.decontaminate import matched
-from lodeworks.llm.host_rules import judge, measured
+from lodeworks.llm.host_rules import host_verdicts, judge, measured
 from lodeworks.llm.mixing import drawn, mix, sized
 from lodeworks.llm.near_dedup import deduplicated
 from lodeworks.llm.token_shards import manifest, public_vocabulary, write_shards
@@ -32,7 +32,15 @@ def _apart(docs: DataFrame, step: Callable[[DataFrame], DataFrame]) -> DataFrame
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither fail by themselves nor come from a failing source."""
-    return _apart(docs, lambda d: judge(keep(measured(d), "stage-rules")).where("kept"))
+
+
+    def step(d: DataFrame) -> DataFrame:
+        # Measured twice rather than stored with the texts: a row of two short columns is enough for the hosts.
+        seen = measured(d)
+        hosts = keep(host_verdicts(keep(seen.select("source", "base_failed"), "stage-rules")), "stage-hosts")
+        return judge(seen, verdicts=hosts).where("kept")
+
+    return _apart(docs, step)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
