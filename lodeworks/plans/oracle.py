@@ -274,6 +274,10 @@ def sql() -> dict[str, str]:
             round(avg(ratio), {D}) AS error, CAST(sum(n) AS BIGINT) AS n_found FROM ratios GROUP BY 1, 2""",
         "gram_matrix": f"""WITH {VECTORS} SELECT CAST(x.dim AS INTEGER) AS i, CAST(y.dim AS INTEGER) AS j,
             round(sum(x.x * y.x), {D}) AS g FROM cells x JOIN cells y ON x.id = y.id GROUP BY 1, 2""",
+        "eigen_reconstruction": f"""WITH {VECTORS} SELECT CAST(x.dim AS INTEGER) AS i, CAST(y.dim AS INTEGER) AS j,
+            round(sum(x.x * y.x), {D}) AS g FROM cells x JOIN cells y ON x.id = y.id GROUP BY 1, 2""",
+        "svd_reconstruction": f"""WITH {VECTORS} SELECT id, CAST(dim AS INTEGER) AS dim, round(x, {D}) AS x FROM cells""",
+        "svd_leading": f"SELECT CAST(rank AS INTEGER) AS rank, true AS fixed FROM range(1, {S.LEADING + 1}) t(rank)",
         "kmeans_assign_l1": f"""{first}, {_step("l1", 0)} SELECT id, CAST(cid AS INTEGER) AS cid,
             round(cost, {D}) AS cost FROM a0""",
         "kmeans_assign_l2": f"""{first}, {_step("l2", 0)} SELECT id, CAST(cid AS INTEGER) AS cid,

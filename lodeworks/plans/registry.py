@@ -181,6 +181,37 @@ def svd_project(spark: SparkSession, sf: str) -> DataFrame:
     return linalg.svd_project(vectors, linalg.svd(vectors))
 
 
+def eigen_reconstruction(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells of the Gram matrix, put together again from its eigen-pairs."""
+    pairs = linalg.eigen_sym(inputs.vectors(spark, sf))
+    one = pairs.select("rank", "eigenvalue", F.posexplode("vector").alias("i", "x"))
+    other = pairs.select("rank", F.posexplode("vector").alias("j", "y"))
+    cells = one.join(other, "rank").groupBy("i", "j").agg(F.sum(F.col("eigenvalue") * F.col("x") * F.col("y")).alias("g"))
+    return _rounded(cells, "g")
+
+
+def svd_reconstruction(spark: SparkSession, sf: str) -> DataFrame:
+    """The cells of the vectors, put together again from their projection, singular values and directions."""
+    vectors = inputs.vectors(spark, sf)
+    parts = linalg.svd(vectors)
+    u = linalg.svd_project(vectors, parts).select("id", F.posexplode("u").alias("r", "u"))
+    directions = parts.select((F.col("rank") - 1).alias("r"), "sigma", F.posexplode("v").alias("dim", "x"))
+    cells = u.join(directions, "r").groupBy("id", "dim").agg(F.sum(F.col("u") * F.col("sigma") * F.col("x")).alias("x"))
+    return _rounded(cells, "x")
+
+
+def svd_leading(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the few leading directions, found without the others, are fixed by the Gram matrix."""
+    vectors = inputs.vectors(spark, sf)
+    parts = linalg.svd(vectors, settings.LEADING)
+    cells = parts.select("rank", "sigma", F.posexplode("v").alias("j", "x"))
+    turned = linalg.gram_matrix(vectors).join(cells, "j").groupBy("rank", "sigma", "i").agg(F.sum(F.col("g") * F.col("x")).alias("gx"))
+    own = cells.select("rank", F.col("j").alias("i"), "x")
+    rest = F.col("gx") - F.col("sigma") * F.col("sigma") * F.col("x")
+    left = turned.join(own, ["rank", "i"]).groupBy("rank", "sigma").agg(F.sqrt(F.sum(rest * rest)).alias("rest"))
+    return left.select("rank", (F.col("rest") <= 1e-3 * F.col("sigma") * F.col("sigma")).alias("fixed"))
+
+
 # Clustering
 
 def first_centroids(spark: SparkSession, sf: str, init: str) -> DataFrame:
@@ -322,7 +353,7 @@ def registered() -> dict[str, Query]:
         frequent_triples, frequent_triples_occurrence, frequent_itemsets, frequent_itemsets_fp,
         rules_1to1, rules_2to1, top_rules_1to1, top_rules_2to1,
         lsh_signatures, lsh_candidates, lsh_knn, distances, pair_distances, exact_knn, ann_error, ann_sweep,
-        gram_matrix, eigen_sym, svd, svd_project,
+        gram_matrix, eigen_sym, svd, svd_project, eigen_reconstruction, svd_reconstruction, svd_leading,
         kmeans_assign_l1, kmeans_assign_l2, kmeans_update,
         rating_ranges, mf_init, mf_objective, mf_fit, mf_lr_sweep, mf_als,
         user_degree, item_degree, item_similarity, user_similarity,

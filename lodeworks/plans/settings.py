@@ -19,6 +19,9 @@ SWEEP = {
     for k, L in [(10, L) for L in range(10, 21, 2)] + [(k, 10) for k in (6, 7, 8, 9, 11)]
 }
 
+# Directions of the leading part of the decomposition.
+LEADING = 4
+
 FIRST_CENTROIDS = {"random": [0, 1, 2, 3, 4], "far": [0, 188, 291, 152, 366]}
 KMEANS_ITERS = 20
 
