@@ -8,15 +8,18 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodeworks.operators.checkpoints import discard, scratch_path
 
-__all__ = ["Scratch", "discard", "keep", "let", "scratch_path", "sliced", "small", "table"]
+__all__ = ["Scratch", "discard", "keep", "let", "numbered", "scratch_path", "sliced", "small", "table"]
 
 # Rows of a table that may be broadcast, each of a few dozen bytes.
 BROADCAST_ROWS = 200_000
+# Files whose paths are listed; a table of more is copied instead.
+MAX_FILES = 100_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +36,25 @@ def _stored(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+def numbered(rows: DataFrame, name: str) -> DataFrame:
+    """`rows` with `_row`, the same number in every scan: a row's place in its Parquet file, or in a stored copy.
+
+    Files are numbered by their paths. Rows that were joined or exploded since they were read may share
+    a place, so that the caller counts them.
+    """
+    spark = rows.sparkSession
+    try:
+        placed = rows.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_at"))
+    except AnalysisException:  # not read from Parquet files
+        return keep(rows.withColumn("_row", F.monotonically_increasing_id()), name)
+    files = [r["_file"] for r in placed.select("_file").distinct().limit(MAX_FILES + 1).collect()]
+    if len(files) > MAX_FILES:
+        return keep(rows.withColumn("_row", F.monotonically_increasing_id()), name)
+    listed = spark.createDataFrame([(f, i) for i, f in enumerate(sorted(files))], "_file string, _number bigint")
+    row = F.shiftleft("_number", 40) + F.col("_at")
+    return placed.join(F.broadcast(listed), "_file").withColumn("_row", row).drop("_file", "_at", "_number")
+
+
 class Scratch:
     """Tables that one computation keeps, and deletes when its result is stored."""
 

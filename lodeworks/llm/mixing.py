@@ -109,8 +109,11 @@ class Mix:
 
 def sized(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with `size`, its words, and `_row`, a number of its own; store it before use."""
-    size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
-    return docs.withColumns({"size": size, "_row": F.monotonically_increasing_id()})
+    return docs.withColumns({"size": size_of(text), "_row": F.monotonically_increasing_id()})
+
+
+def size_of(text: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS, seed: int = SEED) -> Mix:

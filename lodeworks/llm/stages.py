@@ -7,14 +7,15 @@ travel with it in one struct, so no name of theirs can meet a name of the operat
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import keep, scratch_path, table
+from lodeworks.llm.common import keep, numbered, scratch_path, table
 from lodeworks.llm.decontaminate import matched
 from lodeworks.llm.host_rules import host_verdicts, judge, measured
-from lodeworks.llm.mixing import drawn, mix, sized
+from lodeworks.llm.mixing import drawn, mix, size_of, sized
 from lodeworks.llm.near_dedup import deduplicated
 from lodeworks.llm.token_shards import manifest, public_vocabulary, write_shards
 
@@ -56,7 +57,18 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """What the mix draws from each document, a row for each time; `n_chars` is that of the new text."""
-    rows = _apart(docs, lambda d: drawn(mix(keep(sized(d), "stage-mix"))))
+
+
+    def step(d: DataFrame) -> DataFrame:
+        # Sizes are stored, texts are not: their rows are found again by their places in the files.
+        rows = numbered(d, "stage-mix")
+        sizes = keep(rows.select("_row", "doc_id", "source", size_of("text").alias("size")), "stage-sizes")
+        if sizes.count() > sizes.select("_row").distinct().count():
+            rows = keep(sized(d), "stage-mix")
+            sizes = rows.select("_row", "doc_id", "source", "size")
+        return drawn(replace(mix(sizes), docs=rows))
+
+    rows = _apart(docs, step)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rows

@@ -16,13 +16,14 @@ from lodeworks.llm import (
     html_text,
     mixing,
     near_dedup,
+    stages,
     suffix_dedup,
     token_shards,
     url_filter,
     warc,
 )
 from lodeworks.llm.byte_words import words_of
-from lodeworks.llm.common import keep
+from lodeworks.llm.common import keep, numbered
 from lodeworks.llm.components import components
 from lodeworks.llm.permute import feistel
 
@@ -398,3 +399,27 @@ def test_pipeline_stages_keep_columns(spark):
     ids = {r["doc_id"] for r in docs.collect()}
     assert ids <= set(range(0, 40, 2)) and len(ids) >= 15
     assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() > 0
+
+
+def test_rows_are_numbered_by_place(spark, tmp_path):
+    docs = odd_docs(spark).repartition(3)
+    docs.write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    once, again = (numbered(read.select("text", "doc_id"), "copy").select("_row", "text", "doc_id") for _ in range(2))
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, again.repartition(2).collect()))
+    assert once.select("_row").distinct().count() == docs.count()
+    made = numbered(docs, "copy")
+    assert made.select("_row").distinct().count() == docs.count() and made.columns == [*docs.columns, "_row"]
+
+
+def test_mixing_stage_of_files_and_of_other_rows(spark, tmp_path):
+    rows = [(i, prose(i, 200 + i), f"s{i % 3}", "en") for i in range(30)] + [(3, prose(3, 203), "s0", "en")]
+    docs = spark.createDataFrame(rows, DOCS)
+    docs.repartition(4).write.parquet(f"{tmp_path}/docs")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    twice = read.join(spark.createDataFrame([(i % 30,) for i in range(60)], "doc_id bigint"), "doc_id")
+    for given in (docs, read, twice.select(docs.columns)):
+        words = given.select(F.sum(mixing.size_of("text"))).first()[0]
+        out = stages.mixing(spark, given, None)
+        total = out.select(F.sum(mixing.size_of("text"))).first()[0]
+        assert out.columns == docs.columns and abs(total - 1.5 * words) < 0.1 * words
