@@ -236,7 +236,21 @@ FROM ranked JOIN supplier ON s_suppkey = item WHERE rank <= {S.TOP_SCORES}
 """
 
 
+def _falls(start: str, rates: tuple[float, ...], epochs: int) -> str:
+    """The objective of the first factors for each rate; that it falls is what is to be shown."""
+    listed = ", ".join(f"({r}::DOUBLE)" for r in rates)
+    return f"""SELECT lr, {epochs}::BIGINT AS epochs, objective AS first, true AS finite, true AS falls
+        FROM ({start}), (VALUES {listed}) t(lr)"""
+
+
 def sql() -> dict[str, str]:
+    start = f"""WITH {RATINGS}, {FACTORS},
+            guess AS (
+              SELECT r."user", r.item, any_value(r.rating) AS rating, sum(p.x * q.x) AS dot
+              FROM ratings r JOIN factors p ON p.side = 'p' AND p.id = r."user"
+              JOIN factors q ON q.side = 'q' AND q.id = r.item AND q.j = p.j GROUP BY 1, 2)
+            SELECT round((SELECT sum((rating - dot) * (rating - dot)) FROM guess)
+              + {S.REG}::DOUBLE * (SELECT sum(x * x) FROM factors), {D}) AS objective"""
     market = f"WITH {MARKET}, {ITEMS}, {PAIRS}, {TRIPLES}, {RULES_1}, {RULES_2}"
     hashed = f"WITH {_hashed(ONE)}"
     nearest = f'SELECT query_id, id, round(dist, {D}) AS dist, rank FROM'
@@ -291,13 +305,11 @@ def sql() -> dict[str, str]:
             FROM ratings""",
         "mf_init": f"""WITH {RATINGS}, {FACTORS} SELECT side, id, CAST(j AS INTEGER) AS j, round(x, {D}) AS x
             FROM factors""",
-        "mf_objective": f"""WITH {RATINGS}, {FACTORS},
-            guess AS (
-              SELECT r."user", r.item, any_value(r.rating) AS rating, sum(p.x * q.x) AS dot
-              FROM ratings r JOIN factors p ON p.side = 'p' AND p.id = r."user"
-              JOIN factors q ON q.side = 'q' AND q.id = r.item AND q.j = p.j GROUP BY 1, 2)
-            SELECT round((SELECT sum((rating - dot) * (rating - dot)) FROM guess)
-              + {S.REG}::DOUBLE * (SELECT sum(x * x) FROM factors), {D}) AS objective""",
+        "mf_objective": start,
+        "mf_fit_blocks": _falls(start, S.LEARNING_RATES[:1], S.BLOCK_EPOCHS),
+        "mf_fit_descends": _falls(start, S.LEARNING_RATES[:1], S.EPOCHS),
+        "mf_sweep_descends": _falls(start, S.LEARNING_RATES, S.EPOCHS),
+        "mf_als_fits": f"SELECT objective AS first, true AS falls FROM ({start})",
         "user_degree": f'WITH {SEEN} SELECT "user", d FROM du',
         "item_degree": f"WITH {SEEN} SELECT item, d FROM di",
         "item_similarity": f"WITH {SEEN} SELECT i, j, round(sim, {D}) AS sim FROM si",

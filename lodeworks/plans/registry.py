@@ -275,17 +275,51 @@ def mf_objective(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def mf_fit(spark: SparkSession, sf: str) -> DataFrame:
+    """All epochs; the number of blocks follows from the number of ratings."""
+    return factor.mf_fit(inputs.ratings(spark, sf), epochs=settings.EPOCHS, lr=settings.LEARNING_RATES[0])[2]
+
+
+def mf_fit_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """A few epochs in blocks and parts of blocks."""
     ratings = inputs.ratings(spark, sf)
-    return factor.mf_fit(
-        ratings, epochs=settings.EPOCHS, lr=settings.LEARNING_RATES[0], blocks=settings.MF_BLOCKS
-    )[2]
+    trace = factor.mf_fit(ratings, epochs=settings.BLOCK_EPOCHS, lr=settings.LEARNING_RATES[0], blocks=settings.MF_BLOCKS)[2]
+    return _descends(ratings, trace)
 
 
 def mf_lr_sweep(spark: SparkSession, sf: str) -> DataFrame:
-    ratings = inputs.ratings(spark, sf)
-    return factor.mf_lr_sweep(
-        ratings, settings.LEARNING_RATES, epochs=settings.EPOCHS, blocks=settings.MF_BLOCKS
+    return factor.mf_lr_sweep(inputs.ratings(spark, sf), settings.LEARNING_RATES, epochs=settings.EPOCHS)
+
+
+def _start(ratings: DataFrame) -> float:
+    """The objective of the first factors."""
+    return round(factor.mf_objective(ratings, *_first_factors(ratings), settings.REG).first()[0], settings.DIGITS)
+
+
+def _descends(ratings: DataFrame, trace: DataFrame) -> DataFrame:
+    """For each rate the objective before the first epoch, and whether it is finite and falls from there to the end."""
+    first = _start(ratings)
+    ends = trace.groupBy("lr").agg(
+        F.count(F.lit(1)).alias("epochs"), F.min_by("objective", "epoch").alias("_one"), F.max_by("objective", "epoch").alias("_last"),
+        F.bool_and(F.col("objective") < float("inf")).alias("finite"),
     )
+    falls = (F.col("_one") < first) & (F.col("_last") < F.col("_one"))
+    return ends.select("lr", "epochs", F.lit(first).alias("first"), "finite", falls.alias("falls"))
+
+
+def mf_fit_descends(spark: SparkSession, sf: str) -> DataFrame:
+    return _descends(inputs.ratings(spark, sf), mf_fit(spark, sf))
+
+
+def mf_sweep_descends(spark: SparkSession, sf: str) -> DataFrame:
+    return _descends(inputs.ratings(spark, sf), mf_lr_sweep(spark, sf))
+
+
+def mf_als_fits(spark: SparkSession, sf: str) -> DataFrame:
+    """The objective of the first factors, and whether alternating least squares ends below it."""
+    ratings = inputs.ratings(spark, sf)
+    first = _start(ratings)
+    after = factor.mf_objective(ratings, *factor.mf_als(ratings), settings.REG)
+    return after.select(F.lit(first).alias("first"), (F.col("objective") < first).alias("falls"))
 
 
 def mf_als(spark: SparkSession, sf: str) -> DataFrame:
@@ -355,7 +389,8 @@ def registered() -> dict[str, Query]:
         lsh_signatures, lsh_candidates, lsh_knn, distances, pair_distances, exact_knn, ann_error, ann_sweep,
         gram_matrix, eigen_sym, svd, svd_project, eigen_reconstruction, svd_reconstruction, svd_leading,
         kmeans_assign_l1, kmeans_assign_l2, kmeans_update,
-        rating_ranges, mf_init, mf_objective, mf_fit, mf_lr_sweep, mf_als,
+        rating_ranges, mf_init, mf_objective, mf_fit, mf_fit_blocks, mf_lr_sweep, mf_als,
+        mf_fit_descends, mf_sweep_descends, mf_als_fits,
         user_degree, item_degree, item_similarity, user_similarity,
         cf_scores_item, cf_scores_user, cf_top_n_item, cf_top_n_user,
         recommendation_report_item, recommendation_report_user,

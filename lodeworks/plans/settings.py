@@ -30,8 +30,9 @@ TOP_RATING = 5.0
 REG = 0.1
 # From a rate that descends at every scale of the tables, each half of the one before.
 LEARNING_RATES = (0.009, 0.0045, 0.00225)
-EPOCHS = 3
-MF_BLOCKS = 2
+EPOCHS = 40
+# Epochs of the run in blocks, which takes several jobs for each.
+BLOCK_EPOCHS, MF_BLOCKS = 3, 2
 
 TOP_SCORES = 5
 # The recommendation report: every 9th customer from 10 on, and the items below a limit.

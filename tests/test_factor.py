@@ -75,6 +75,25 @@ def test_blocks_and_split_hot_item_lower_the_objective(spark):
         assert factor.mf_objective(ratings, P, Q).first()["objective"] == pytest.approx(costs[-1])
 
 
+def test_the_size_of_a_part_changes_nothing(spark):
+    hot = [(500 + u, u, 99, float(1 + u % 5)) for u in range(1, 31)]
+    ratings = frame(spark, some_ratings(200, 30, 12, seed=4) + hot).repartition(4)
+    for blocks, small in ((1, 90), (2, 40)):
+        found = []
+        for group_ratings in (1_000_000, small):
+            P, Q, trace = factor.mf_fit(ratings, k=3, epochs=2, lr=0.02, order="pos", blocks=blocks, group_ratings=group_ratings)
+            found.append([sorted((r["id"], *r["f"]) for r in side.collect()) for side in (P, Q)] + [[r["objective"] for r in trace.orderBy("epoch").collect()]])
+        for one, other in zip(*found):
+            assert np.array(one) == pytest.approx(np.array(other), rel=1e-12)
+
+
+def test_a_rate_too_high_is_an_error(spark):
+    ratings = frame(spark, some_ratings(60, 8, 9))
+    for blocks in (1, 2):
+        with pytest.raises(ArithmeticError):
+            factor.mf_fit(ratings, k=3, epochs=9, lr=50.0, blocks=blocks)
+
+
 def test_objective_counts_rated_rows_once(spark):
     ratings = frame(spark, [(0, 1, 1, 3.0), (1, 1, 2, 1.0)])
     P = spark.createDataFrame([(1, [1.0, 0.0]), (2, [9.0, 9.0])], "id bigint, f array<double>")
