@@ -34,6 +34,7 @@ gives an empty table; other columns may have any name.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -211,14 +212,14 @@ def alike(bags: list[np.ndarray], threshold: float) -> np.ndarray:
 
 
 def forest(near: np.ndarray) -> list[tuple[int, int]]:
-    """Links that join what `near` joins, fewer than nodes."""
+    """Links that join what `near` joins, fewer than nodes; from the first nodes outwards."""
     waiting, links = np.ones(len(near), bool), []
     for root in range(len(near)):
         if waiting[root]:
             waiting[root] = False
-            front = [root]
+            front = deque([root])
             while front:
-                at = front.pop()
+                at = front.popleft()
                 new = np.flatnonzero(near[at] & waiting)
                 waiting[new] = False
                 links += [(at, x) for x in new.tolist()]
@@ -233,11 +234,14 @@ def _linked(rows: DataFrame, threshold: float) -> DataFrame:
         label = np.array(labels)
         if not len(label) or (label == label[0]).all():
             return None
-        near = alike([np.frombuffer(b, np.uint64) for b in bags], threshold)
+        # In the order of the nodes, so that the forests of several buckets have the same links.
+        order = np.argsort(np.array(nodes, np.int64), kind="stable")
+        nodes, label = np.array(nodes, np.int64)[order], label[order]
+        near = alike([np.frombuffer(bags[x], np.uint64) for x in order], threshold)
         links = forest(near & (label[:, None] != label))
         if not links:
             return None
-        a, b = np.array(nodes, np.int64)[np.array(links)].T
+        a, b = nodes[np.array(links)].T
         return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
