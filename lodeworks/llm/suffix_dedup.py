@@ -2,7 +2,7 @@
 
 The dealt method, a distributed difference-cover suffix array, sorts a row for every byte of
 the corpus several times; the README says what that would take. This operator finds the same
-bytes by content anchors, exactly up to 64-bit hashes.
+bytes by content anchors, exactly up to pairs of 64-bit hashes.
 
 A repeat is a string of `length` bytes that also starts elsewhere. Of the GRAM-byte hashes
 in such a string the least, the first of equals, is its anchor, so equal strings have equal anchors
@@ -13,9 +13,15 @@ at the same place. Every start of a string belongs to one anchor, and an anchor'
 2. Spans that occur twice repeat as a whole: a row for many bytes. This settles whole copies and
    the inside of shared passages.
 3. What is left is anchors that others share with another span, as at the ends of passages. One
-   of each such span is opened: a row for each of its starts, with the hash of its string.
-   Equal ones are repeats.
-4. Runs of repeated starts go back to their texts, which are cut in one pass.
+   of each such span is cut into pieces of PIECE starts by their distance from the anchor. All strings
+   of a piece share a core; a piece whose core occurs once holds no repeat, and pieces that occur
+   twice as a whole are settled like spans.
+4. The few pieces left, which share a core with a different piece, are opened: a row for each of
+   their starts, with the hash of its string. Equal ones are repeats.
+5. Runs of repeated starts go back to their texts, which are cut in one pass.
+
+Two strings count as equal if two 64-bit hashes agree: the anchor's and the span's, the core's and the
+piece's, or the core's and the string's.
 
 Hot strings: a row per anchor and copy, counted before it is shuffled; no pair is made.
 
@@ -26,7 +32,7 @@ one text count; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +41,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.llm.byte_words import mixed, powers, texts_of
-from lodeworks.llm.common import keep, scratch_path, sliced, table
+from lodeworks.llm.common import Scratch, keep, scratch_path, sliced, table
 
 LENGTH = 400
 GRAM = 128
+PIECE = 32
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -95,56 +102,101 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarr
 
 
 def _anchored(docs: DataFrame, length: int, text: str) -> DataFrame:
-    """`_row, low, high, mark, span`: an anchor's run of starts, in its text."""
+    """`_row, low, high, at, mark, whole`: an anchor's run of starts, in its text."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text):
             raw, offsets = texts_of(batch[text])
-            owner, _, low, high, mark, span = anchors(raw, offsets, length)
-            columns = [batch["_row"].take(pa.array(owner)), *map(pa.array, (low - offsets[owner], high - offsets[owner], mark, span))]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "low", "high", "mark", "span"])
+            owner, at, low, high, mark, span = anchors(raw, offsets, length)
+            places = [pa.array(x - offsets[owner]) for x in (low, high, at)]
+            columns = [batch["_row"].take(pa.array(owner)), *places, pa.array(mark), pa.array(span)]
+            yield pa.RecordBatch.from_arrays(columns, ["_row", "low", "high", "at", "mark", "whole"])
+
+    return docs.select("_row", text).mapInArrow(scan, "_row long, low long, high long, at long, mark long, whole long")
+
 
-    return docs.select("_row", text).mapInArrow(scan, "_row long, low long, high long, mark long, span long")
+def _repeated(owner: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each of `owner` as often as `counts` says: it, and a number from 0."""
+    return np.repeat(owner, counts), np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def _opened(runs: DataFrame, docs: DataFrame, length: int, text: str) -> DataFrame:
-    """`_row, start, string`: a row for each start of the runs `_row, low, high`."""
-    wanted = runs.groupBy("_row").agg(F.sort_array(F.collect_list(F.struct("low", "high"))).alias("_runs"))
+def _inside(runs: DataFrame, docs: DataFrame, text: str, cut_up: Callable[..., tuple[np.ndarray, ...]], schema: str) -> DataFrame:
+    """What `cut_up(hashes, low, high, at, mark)` makes of the runs of some texts: the run's number, places, two hashes."""
+    listed = F.sort_array(F.collect_list(F.struct("low", "high", "at", "mark")))
+    wanted = runs.groupBy("_row").agg(listed.alias("_runs"))
+    names = [f.split()[0] for f in schema.split(", ")]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, text):
             raw, offsets = texts_of(batch[text])
-            hashes = _Hashes(raw)
-            runs = batch["_runs"]
-            pairs, counts = runs.flatten(), np.diff(runs.offsets.to_numpy())
+            pairs, counts = batch["_runs"].flatten(), np.diff(batch["_runs"].offsets.to_numpy())
             owner = np.repeat(np.arange(batch.num_rows), counts)
-            low, high = pairs.field(0).to_numpy(), pairs.field(1).to_numpy()
-            sizes = high - low + 1
-            starts = np.repeat(low - (np.cumsum(sizes) - sizes), sizes) + np.arange(int(sizes.sum()))
-            owner = np.repeat(owner, sizes)
-            at = starts + offsets[owner]
-            columns = [batch["_row"].take(pa.array(owner)), pa.array(starts), pa.array(hashes.of(at, at + length).view(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, ["_row", "start", "string"])
+            first = offsets[owner]
+            low, high, at = (pairs.field(i).to_numpy() + first for i in range(3))
+            run, *places, one, other = cut_up(_Hashes(raw), low, high, at, pairs.field(3).to_numpy())
+            places = [pa.array(x - first[run]) for x in places]
+            yield pa.RecordBatch.from_arrays(
+                [batch["_row"].take(pa.array(owner[run])), *places, pa.array(one), pa.array(other)], names
+            )
+
+    return docs.select("_row", text).join(wanted.hint("merge"), "_row").mapInArrow(scan, schema)
+
+
+def _pieces(runs: DataFrame, docs: DataFrame, length: int, text: str) -> DataFrame:
+    """`_row, low, high, at, mark, whole`: runs cut by distance from the anchor; `mark` is the core's hash."""
+
+    def cut_up(hashes: _Hashes, low: np.ndarray, high: np.ndarray, at: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, ...]:
+        nearest = (at - high) // PIECE
+        run, k = _repeated(np.arange(len(low)), (at - low) // PIECE - nearest + 1)
+        k = k + nearest[run]
+        near = at[run] - k * PIECE
+        first, last = np.maximum(low[run], near - PIECE + 1), np.minimum(high[run], near)
+        core = hashes.of(near, near - PIECE + 1 + length) ^ mixed(k.astype(np.uint64) + np.uint64(1))
+        whole = hashes.of(first, last + length) ^ mixed((at[run] - first).astype(np.uint64) + np.uint64(1))
+        return run, first, last, at[run], core.view(np.int64), whole.view(np.int64)
 
-    return docs.select("_row", text).join(wanted.hint("merge"), "_row").mapInArrow(scan, "_row long, start long, string long")
+    return _inside(runs, docs, text, cut_up, "_row long, low long, high long, at long, mark long, whole long")
+
+
+def _starts(runs: DataFrame, docs: DataFrame, length: int, text: str) -> DataFrame:
+    """`_row, start, mark, string`: a row for each start of the runs."""
+
+    def cut_up(hashes: _Hashes, low: np.ndarray, high: np.ndarray, at: np.ndarray, mark: np.ndarray) -> tuple[np.ndarray, ...]:
+        run, more = _repeated(np.arange(len(low)), high - low + 1)
+        start = low[run] + more
+        return run, start, mark[run], hashes.of(start, start + length).view(np.int64)
+
+    return _inside(runs, docs, text, cut_up, "_row long, start long, mark long, string long")
+
+
+def _settled(found: DataFrame, name: str, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Of runs with `mark, whole`: those that occur twice as a whole, and one of each that shares its mark with others."""
+    wholes = found.groupBy("mark", "whole").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("_row", "low", "high", "at")).alias("one")
+    )
+    marks = wholes.groupBy("mark").agg(F.count(F.lit(1)).alias("wholes"), F.sum("n").alias("of_mark")).where("of_mark > 1")
+    wholes = scratch.keep(wholes.join(marks, "mark"), name)
+    twice = wholes.where("n > 1").select("mark", "whole").hint("merge")
+    return (
+        found.join(twice, ["mark", "whole"]).select("_row", "low", "high"),
+        wholes.where("wholes > 1").select("one.*", "mark"),
+    )
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:
     """`_row, low, high`: runs of starts of repeated strings in the texts of a stored table with `_row`."""
-    found = keep(_anchored(docs, length, text), "anchors")
-    spans = found.groupBy("mark", "span").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.struct("_row", "low", "high")).alias("one")
-    )
-    marks = spans.groupBy("mark").agg(F.count(F.lit(1)).alias("spans"), F.sum("n").alias("of_mark")).where("of_mark > 1")
-    spans = keep(spans.join(marks, "mark"), "spans")
-    whole = found.join(spans.where("n > 1").select("mark", "span").hint("merge"), ["mark", "span"]).select("_row", "low", "high")
-    # One of each span whose anchor is also in other spans; those that occur once are not settled.
-    opened = spans.where("spans > 1").select("one.*", (F.col("n") > 1).alias("settled"))
-    starts = _opened(opened, docs, length, text)
-    starts = keep(starts, "starts")
-    equal = starts.groupBy("string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("string")
-    single = starts.join(equal.hint("merge"), "string").select("_row", F.col("start").alias("low"), F.col("start").alias("high"))
-    return whole.union(single)
+    scratch = Scratch(docs.sparkSession)
+    found = scratch.keep(_anchored(docs, length, text), "anchors")
+    spans, shared = _settled(found, "spans", scratch)
+    cut_up = scratch.keep(_pieces(shared, docs, length, text), "pieces")
+    pieces, unlike = _settled(cut_up, "wholes", scratch)
+    starts = scratch.keep(_starts(unlike, docs, length, text), "starts")
+    equal = starts.groupBy("mark", "string").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("mark", "string")
+    single = starts.join(equal.hint("merge"), ["mark", "string"])
+    single = single.select("_row", F.col("start").alias("low"), F.col("start").alias("high"))
+    runs = keep(spans.union(pieces).union(single), "repeats")
+    scratch.clear()
+    return runs
 
 
 def cut(docs: DataFrame, length: int = LENGTH, text: str = "text") -> DataFrame:

@@ -371,6 +371,11 @@ def test_repeated_strings_against_brute_force(spark):
     shared = prose(70, 150)
     texts = [prose(i, 100) for i in range(6)] + [prose(20, 40) + shared + prose(21, 40), shared + prose(22, 90), prose(23, 9) + shared[: len(shared) - 7], "ab" * 700, "x" * 399, None, "", "é" * 500]
     texts += [texts[0], prose(24, 30) + texts[1][int(draw.integers(5, 30)) :]]
+    # Passages cut anywhere, so that pieces of all lengths meet.
+    passage = prose(71, 220)
+    for i in range(60):
+        start, size = int(draw.integers(0, 500)), int(draw.integers(380, 700))
+        texts.append(prose(100 + i, int(draw.integers(0, 30))) + passage[start : start + size] + prose(200 + i, int(draw.integers(0, 30))))
     length, seen = suffix_dedup.LENGTH, collections.Counter()
     raw = [(t or "").encode() for t in texts]
     for b in raw:
