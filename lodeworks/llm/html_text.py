@@ -3,14 +3,19 @@
 1. Each page's containers are scored by the text they hold outside of boilerplate, less
    its links; a container that holds nearly all of the page's best is preferred the deeper it is.
    The page votes for the tag-class path of its best container, digits taken out of classes.
-2. Votes are added up by host and path; a host's paths are ranked.
-3. Each page is extracted again from the containers at the first of its host's paths
-   that it has; a page that has none of them uses its own best.
+2. Votes are added up by host and path. A path counts if it has a thousandth of its host's votes.
+3. Each page is extracted again from the containers at the first of its host's paths, most votes
+   first, that holds most of what the page's own best holds; a page that has none uses its own best.
+
+Boilerplate: elements, roles and `hidden` say so at once. Words of classes and ids only raise a
+suspicion: an element that holds a main heading, or most of the page's text as paragraphs or an article, stays.
+Readers' comments stay only around a heading or an article. Paragraphs and headings are suspected for
+words of adverts and sign-ups in their class alone.
 
 A page is scanned by one regular expression and a stack of open elements, so memory and
 time are in proportion to its length. Votes are combined before they are shuffled; a hot
-host sends one row per task and path. Pages are not shuffled: the ranked paths, a few per
-host, are broadcast if a count shows that they are few, else joined.
+host sends one row per task and path. Pages are not shuffled: the paths, a thousand of a host at most
+by the share they need, are broadcast if a count shows that they are few, else joined.
 
 Text: character references are decoded, white space in a block (also a line break) becomes one
 space, blocks are joined by line ends in the order of the page.
@@ -28,14 +33,17 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.llm.common import keep, sliced, small, table
 
-# Paths kept for a host, best first; a page with none of them is extracted by its own best.
-PATHS = 8
+# A path needs one of so many votes of its host.
+VOTES = 1000
+# A host's path must hold this share of the text of the page's own best.
+MOST = 0.5
+# An article or main element of less than these shares of the best text is a teaser.
+ARTICLE_SHARE, MAIN_SHARE = 0.5, 0.3
 # A deeper container wins if it holds this share of the text that the best one holds.
 NEARLY_ALL = 0.9
 
@@ -57,6 +65,13 @@ SKIP_WORDS = frozenset(
     "footer gdpr header masthead menu modal nav navbar navigation newsletter notice notices popup promo promoted related "
     "replies reply share sharing sidebar signup skip social sponsor sponsored subscribe toolbar widget".split()
 )
+# Those that also count for a paragraph, and those of readers' comments.
+ADVERT_WORDS = frozenset(
+    "ad ads advert advertisement adverts consent cookie cookies gdpr newsletter popup promo promoted signup sponsor "
+    "sponsored subscribe".split()
+)
+COMMENT_WORDS = frozenset("comment comments disqus replies reply".split())
+PARAGRAPHS = frozenset("blockquote h1 h2 h3 h4 h5 h6 p pre".split())
 CONTAINERS = frozenset("article body center dd div main section table tbody td tr".split())
 # An open element of the first kind ends where one of the second begins.
 ENDS = {
@@ -78,23 +93,25 @@ _PIECE = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>",
     re.S | re.I,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _SPACE = re.compile(r"\s+")
 
 
 class _Element:
-    __slots__ = ("above", "depth", "linked", "path", "skipped", "tag", "text")
+    __slots__ = ("above", "depth", "dropped", "leads", "linked", "path", "prose", "real", "skipped", "suspect", "tag", "text", "total")
 
-    def __init__(self, tag: str, name: str, above: _Element | None, skipped: bool) -> None:
-        self.tag, self.above, self.skipped = tag, above, skipped
+    def __init__(self, tag: str, name: str, above: _Element | None, skipped: bool, suspect: str = "") -> None:
+        self.tag, self.above, self.skipped, self.suspect = tag, above, skipped, suspect
         self.depth = above.depth + 1 if above else 0
         self.path = f"{above.path}/{name}" if above else name
-        self.text = self.linked = 0
+        self.text = self.linked = self.total = self.prose = 0
+        self.leads = self.real = False
+        self.dropped: bool | None = None
 
 
-def _named(tag: str, attributes: str, inside: frozenset[str]) -> tuple[str, bool]:
-    """The general name of an element, and whether it is boilerplate."""
+def _named(tag: str, attributes: str, inside: bool) -> tuple[str, bool, str]:
+    """The general name of an element, whether it is boilerplate, and what its words raise: "", "words" or "comments"."""
     classes, words, skipped = "", set(), tag in SKIP_TAGS or (tag == "header" and not inside)
     if attributes and not attributes.isspace():
         for name, *values in _ATTRIBUTE.findall(attributes):
@@ -104,11 +121,54 @@ def _named(tag: str, attributes: str, inside: frozenset[str]) -> tuple[str, bool
                 skipped |= value.lower() in SKIP_ROLES
             elif name in ("hidden", "aria-hidden"):
                 skipped |= value.lower() in ("", "true", "hidden")
-            else:
+            elif name == "class" or (name == "id" and tag not in PARAGRAPHS):
                 words.update(w.lower() for w in _WORD.findall(value))
                 if name == "class":
                     classes = ".".join(sorted({re.sub(r"\d+", "", c) for c in value.split()}))
-    return (f"{tag}.{classes}" if classes else tag), skipped or not words.isdisjoint(SKIP_WORDS)
+    words &= ADVERT_WORDS if tag in PARAGRAPHS else SKIP_WORDS
+    suspect = "comments" if words & COMMENT_WORDS else "words" if words else ""
+    return (f"{tag}.{classes}" if classes else tag), skipped, suspect
+
+
+def _stays(element: _Element, page: int) -> bool:
+    """Whether a suspected element of a page with so much text is none of its boilerplate."""
+    if element.leads:
+        return True
+    whole = element.real or (element.suspect == "words" and element.prose > 1)
+    return whole and 2 * element.total > page
+
+
+def _kept(found: list[tuple[_Element, str, int]]) -> list[tuple[_Element, str]]:
+    """The blocks outside of suspected elements that do not stay; what is left is added up."""
+    page = 0
+    for element, text, _ in found:
+        page += len(text)
+        prose, leads, real = False, False, False
+        while element:
+            element.total += len(text)
+            element.prose += prose or element.tag in PARAGRAPHS
+            element.leads |= leads
+            element.real |= real
+            prose |= element.tag in PARAGRAPHS
+            leads |= element.tag == "h1"
+            real |= element.tag in ("article", "main") and not element.suspect
+            element = element.above
+    kept = []
+    for element, text, linked in found:
+        chain, at = [], element
+        while at and at.dropped is None:
+            chain.append(at)
+            at = at.above
+        for at in reversed(chain):
+            at.dropped = bool(at.above and at.above.dropped) or bool(at.suspect and not _stays(at, page))
+        if not element.dropped:
+            kept.append((element, text))
+            at = element
+            while at:
+                at.text += len(text)
+                at.linked += linked
+                at = at.above
+    return kept
 
 
 def blocks(page: str) -> list[tuple[_Element, str]]:
@@ -122,12 +182,7 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
         if held:
             text = _SPACE.sub(" ", entities.unescape("".join(held))).strip()
             if text:
-                found.append((stack[-1], text))
-                element, share = stack[-1], min(linked, len(text))
-                while element:
-                    element.text += len(text)
-                    element.linked += share
-                    element = element.above
+                found.append((stack[-1], text, min(linked, len(text))))
             held.clear()
         linked = 0
 
@@ -171,16 +226,20 @@ def blocks(page: str) -> list[tuple[_Element, str]]:
                     if stack[i].tag in SCOPES:
                         break
             above = stack[-1]
-            inside = frozenset(e.tag for e in stack if e.tag in ("article", "main"))
-            name, skipped = _named(tag, attributes, inside)
-            stack.append(_Element(tag, name, above, above.skipped or (skipped and tag not in ("html", "body", "article", "main"))))
+            inside = any(e.tag in ("article", "main") for e in stack)
+            name, skipped, suspect = _named(tag, attributes, inside)
+            if tag in ("html", "body", "main"):
+                skipped, suspect = False, ""
+            elif tag not in BLOCK:
+                skipped, suspect = skipped or bool(suspect), ""
+            stack.append(_Element(tag, name, above, above.skipped or (skipped and tag != "article"), suspect))
             if tag not in BLOCK and not attributes.endswith("/"):
                 continue
             if attributes.endswith("/"):
                 stack.pop()
     add(page[place:])
     flush()
-    return found
+    return _kept(found)
 
 
 def _worth(element: _Element) -> float:
@@ -197,29 +256,33 @@ def best(found: list[tuple[_Element, str]]) -> _Element | None:
     containers = [e for e in seen.values() if e.tag in CONTAINERS or e.above is None]
     if not containers:
         return None
-    articles = [e for e in containers if e.tag in ("article", "main") and _worth(e) > 0]
-    if articles:
-        return max(articles, key=lambda e: (_worth(e), -e.depth))
     top = max(map(_worth, containers))
+    for tag, share in (("article", ARTICLE_SHARE), ("main", MAIN_SHARE)):
+        held = [e for e in containers if e.tag == tag and _worth(e) > 0 and _worth(e) >= share * top]
+        if held:
+            return max(held, key=lambda e: (_worth(e), -e.depth))
     return max((e for e in containers if _worth(e) >= NEARLY_ALL * top), key=lambda e: (e.depth, _worth(e)))
 
 
 def extract(page: str, paths: list[str]) -> str:
-    """The text at the first of `paths` that the page has text at, else at its own best."""
+    """The text at the first of `paths` that holds most of what the page's own best holds, else of that."""
     found = blocks(page)
-    own: list[tuple[frozenset[str], str]] = []
-    for element, text in found:
+    own = best(found)
+    if own is None:
+        return ""
+    held: dict[str, list[int]] = {}
+    for i, (element, _) in enumerate(found):
         above = set()
         while element:
             above.add(element.path)
             element = element.above
-        own.append((frozenset(above), text))
-    for path in paths:
-        chosen = [text for above, text in own if path in above]
-        if chosen:
+        for path in above:
+            held.setdefault(path, []).append(i)
+    for path in [*paths, own.path]:
+        chosen = [found[i][1] for i in held.get(path, ())]
+        if chosen and (path == own.path or sum(map(len, chosen)) >= MOST * own.text):
             return "\n".join(chosen)
-    container = best(found)
-    return "\n".join(text for above, text in own if container and container.path in above)
+    return ""
 
 
 def _text(value: pa.Scalar) -> str:
@@ -250,12 +313,13 @@ def votes(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     return cast.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("text").alias("text"))
 
 
-def winners(counted: DataFrame, paths: int = PATHS) -> DataFrame:
-    """`_host, _paths`: each host's paths, most votes first."""
-    rank = F.row_number().over(W.partitionBy("host").orderBy(F.desc("n"), F.desc("text"), "path"))
-    ranked = counted.withColumn("_rank", rank).where(F.col("_rank") <= paths)
-    listed = F.sort_array(F.collect_list(F.struct("_rank", "path")))
-    return ranked.groupBy(F.col("host").alias("_host")).agg(F.transform(listed, lambda x: x["path"]).alias("_paths"))
+def winners(counted: DataFrame, votes: int = VOTES) -> DataFrame:
+    """`_host, _paths`: each host's paths with one of `votes` votes or more, most votes first."""
+    hosts = counted.groupBy(F.col("host").alias("_host")).agg(F.sum("n").alias("_n"))
+    counting = counted.join(hosts, F.col("host") == F.col("_host")).where(F.col("n") * votes >= F.col("_n"))
+    order = F.struct((-F.col("n")).alias("n"), (-F.col("text")).alias("text"), "path")
+    listed = F.sort_array(F.collect_list(order))
+    return counting.groupBy("_host").agg(F.transform(listed, lambda x: x["path"]).alias("_paths"))
 
 
 def main_text(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:

@@ -351,6 +351,68 @@ def test_main_text(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def body_text(i, n=4):
+    return [f"Paragraph {j} of page {i} says a thing about it, and then some more words." for j in range(n)]
+
+
+# What surrounds an article on a page, with `{}` for its blocks. Boilerplate says BAD.
+TEMPLATES = [
+    '<div style="overflow:hidden"><article>{}</article></div>',
+    '<div class="has-sidebar layout"><article>{}</article><div class="sidebar">BAD</div></div>',
+    '<div class="with-menu"><div class="menu">BAD</div><div class="content">{}</div></div>',
+    '<article><header class="entry-header"><h1>Title</h1></header>{}</article>',
+    '<div class="post"><div class="post-header"><h1>Title</h1></div>{}</div>',
+    "<nav>BAD</nav><main>{}</main><footer>BAD</footer>",
+    '<main><article>{}</article><section class="comments"><article class="comment"><p>BAD</p></article></section></main>',
+    '<div id="content">{}</div><div id="comments"><p>BAD BAD</p><p>BAD</p></div>',
+    '<article><h2>teaser</h2></article><div class="text">{}</div>',
+    '<table><tr><td class="nav">BAD</td><td>{}</td></tr></table>',
+    '<div role="banner">BAD</div><section>{}</section>',
+    '<div class="cookie-notice"><p>BAD</p><p>BAD</p></div><article>{}</article>',
+    '<article>{}<p class="ad">BAD</p><aside>BAD</aside></article>',
+    '<article>{}<form>BAD</form><div class="share">BAD</div><script>BAD</script></article>',
+    '<div class="article-body" data-role="menu" title="a hidden gem">{}</div>',
+]
+MARKED = [
+    '<p data-id="menu-1">{}</p>', '<p title="a hidden gem">{}</p>', '<p id="comments-policy">{}</p>', '<p class="related">{}</p>',
+]
+
+
+@pytest.mark.parametrize("template", TEMPLATES)
+def test_templates_give_their_articles(template):
+    said = body_text(1)
+    marked = "".join(m.format(t) for m, t in zip(MARKED, said))
+    got = html_text.extract(f"<html><head><title>BAD</title></head><body>{template.replace('{}', marked)}</body></html>", [])
+    want = (["Title"] if "Title" in template else []) + said
+    # A teaser that stands before the body may come with it.
+    assert [t for t in got.split("\n") if t != "teaser"] == want
+
+
+def test_every_template_of_a_host_keeps_its_pages(spark):
+    rows, want = [], {}
+    for i in range(45):
+        said = body_text(i)
+        page = TEMPLATES[i % 15].replace("{}", "".join(f"<p>{t}</p>" for t in said)).replace('class="', f'class="t{"abc"[i % 3]} ')
+        rows.append((i, "http://one.example/x" if i % 2 else None, f"<body>{page}</body>", "clash"))
+        want[i] = said
+    pages = spark.createDataFrame(rows + rows[:3], "page_id int, url string, html string, _path string")
+    found = html_text.main_text(pages).collect()
+    assert len(found) == 48
+    for r in found:
+        lines = [t for t in r["text"].split("\n") if t not in ("Title", "teaser")]
+        assert lines == want[r["page_id"]] and r["n_chars"] == len(r["text"])
+
+
+def test_votes_against_a_plain_count(spark):
+    pages = [("http://h/1", f"<body><div class='c{i % 3} {'xyz'[i % 3]}'><p>{t}</p></div></body>") for i, t in enumerate(body_text(0, 12))]
+    counted = html_text.votes(spark.createDataFrame(pages, "url string, html string"))
+    plain = collections.Counter(html_text.best(html_text.blocks(h)).path for _, h in pages)
+    assert {r["path"]: r["n"] for r in counted.collect()} == dict(plain) and len(plain) == 3
+    ranked = html_text.winners(counted).first()["_paths"]
+    assert sorted(ranked) == sorted(plain)
+    assert html_text.winners(counted, votes=1).count() == 0
+
+
 def test_archives_round_trip(spark, tmp_path):
     odd = "a\r\n\r\nb\r\n\r\n\r\nWARC/1.1\r\n"
     rows = [(5, "http://h/5", odd), (2, "http://h/2", odd), (9, None, None), (7, "http://h/7", ""), (None, "http://h/n", odd), (3, "http://h/é", "é" * 3000), (3, "http://h/é", "é" * 3000), (4, "x\r\ny", "\r\n")]
