@@ -1,4 +1,8 @@
-"""User-user and item-item collaborative filtering on a sparse user x item table."""
+"""User-user and item-item collaborative filtering on a sparse user x item table.
+
+A user or item whose cells add up to zero or less has no root of a degree, so it is similar to none,
+itself included, and a user without one has no scores from similar users.
+"""
 
 from __future__ import annotations
 
@@ -49,14 +53,17 @@ def _rows_of(cells: DataFrame, shared: str, member: str, results: float) -> Data
 
 
 def _dense(batch: pa.RecordBatch, members: np.ndarray, weighted: bool) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of a batch as (rows, members), and 1 or 1 / sqrt(row sum) per row."""
+    """The rows of a batch as (rows, members), and 1 or 1 / sqrt(row sum) per row; 0 without such a root."""
     lists = batch.column(1)
     flat = lists.flatten()
     lengths = np.diff(lists.offsets.to_numpy())
     block = np.zeros((batch.num_rows, len(members)))
     at = np.searchsorted(members, flat.field(0).to_numpy(zero_copy_only=False))
     block[np.repeat(np.arange(batch.num_rows), lengths), at] = flat.field(1).to_numpy(zero_copy_only=False)
-    return block, 1 / np.sqrt(block.sum(axis=1)) if weighted else np.ones(batch.num_rows)
+    if not weighted:
+        return block, np.ones(batch.num_rows)
+    degree = block.sum(axis=1)
+    return block, np.divide(1, np.sqrt(np.maximum(degree, 0)), out=np.zeros(batch.num_rows), where=degree > 0)
 
 
 def _slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +103,7 @@ def _products(cells: DataFrame, shared: str, member: str, weighted: bool, block_
     weight = F.lit(1.0)
     keys = [shared]
     if weighted:
-        cells = cells.join(cells.groupBy(shared).agg(F.sum("r").alias("d")), shared)
+        cells = cells.join(cells.groupBy(shared).agg(F.sum("r").alias("d")).where("d > 0"), shared)
         weight = 1 / F.sqrt("d")
         keys = [shared, "d"]
         if sizes.hot is not None:
@@ -118,7 +125,7 @@ def _mirrored(pairs: DataFrame, value: str) -> DataFrame:
 
 
 def _similarity(cells: DataFrame, shared: str, member: str, mirror: bool, block_rows: int) -> DataFrame:
-    degree = cells.groupBy(F.col(member).alias("m")).agg(F.sum("r").alias("d"))
+    degree = cells.groupBy(F.col(member).alias("m")).agg(F.sum("r").alias("d")).where("d > 0")
     products = _products(cells, shared, member, False, block_rows)
     sim = (
         products.join(degree.select(F.col("m").alias("a"), F.col("d").alias("da")), "a")
@@ -186,7 +193,7 @@ def _times_items(
         return _dense_scores(rows.withColumn("user", F.col("user").cast("bigint")), members, table, weighted, top)
     share = F.col("r")
     if weighted:
-        cells = cells.join(cells.groupBy("user").agg(F.sum("r").alias("d")), "user")
+        cells = cells.join(cells.groupBy("user").agg(F.sum("r").alias("d")).where("d > 0"), "user")
         share = F.col("r") / F.sqrt("d")
     return (
         cells.join(weights.withColumnRenamed("i", "item"), "item")

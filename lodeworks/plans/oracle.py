@@ -310,6 +310,8 @@ def sql() -> dict[str, str]:
         "mf_fit_descends": _falls(start, S.LEARNING_RATES[:1], S.EPOCHS),
         "mf_sweep_descends": _falls(start, S.LEARNING_RATES, S.EPOCHS),
         "mf_als_fits": f"SELECT objective AS first, true AS falls FROM ({start})",
+        "mf_als_wide_ids": f"""WITH {RATINGS} SELECT count(DISTINCT "user") AS users, count(DISTINCT item) AS items,
+            min("user") + {S.WIDE_IDS} AS least_user, min(item) + {S.WIDE_IDS} AS least_item, true AS falls FROM ratings""",
         "user_degree": f'WITH {SEEN} SELECT "user", d FROM du',
         "item_degree": f"WITH {SEEN} SELECT item, d FROM di",
         "item_similarity": f"WITH {SEEN} SELECT i, j, round(sim, {D}) AS sim FROM si",

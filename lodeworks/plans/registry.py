@@ -322,6 +322,19 @@ def mf_als_fits(spark: SparkSession, sf: str) -> DataFrame:
     return after.select(F.lit(first).alias("first"), (F.col("objective") < first).alias("falls"))
 
 
+def mf_als_wide_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Alternating least squares on ids beyond int: the factors found, their least ids, and whether they fit."""
+    wide = inputs.ratings(spark, sf).withColumns({c: F.col(c).cast("bigint") + settings.WIDE_IDS for c in ("user", "item")})
+    first = _start(wide)
+    P, Q = factor.mf_als(wide)
+    found = [F.count(F.lit(1)).alias("n"), F.min("id").alias("least")]
+    users, items = (f.agg(*found).first() for f in (P, Q))
+    counted = [F.lit(users["n"]).alias("users"), F.lit(items["n"]).alias("items")]
+    least = [F.lit(users["least"]).alias("least_user"), F.lit(items["least"]).alias("least_item")]
+    after = factor.mf_objective(wide, P, Q, settings.REG)
+    return after.select(*counted, *least, (F.col("objective") < first).alias("falls"))
+
+
 def mf_als(spark: SparkSession, sf: str) -> DataFrame:
     P, Q = factor.mf_als(inputs.ratings(spark, sf))
     return P.select(F.lit("p").alias("side"), "*").unionByName(Q.select(F.lit("q").alias("side"), "*"))
@@ -390,7 +403,7 @@ def registered() -> dict[str, Query]:
         gram_matrix, eigen_sym, svd, svd_project, eigen_reconstruction, svd_reconstruction, svd_leading,
         kmeans_assign_l1, kmeans_assign_l2, kmeans_update,
         rating_ranges, mf_init, mf_objective, mf_fit, mf_fit_blocks, mf_lr_sweep, mf_als,
-        mf_fit_descends, mf_sweep_descends, mf_als_fits,
+        mf_fit_descends, mf_sweep_descends, mf_als_fits, mf_als_wide_ids,
         user_degree, item_degree, item_similarity, user_similarity,
         cf_scores_item, cf_scores_user, cf_top_n_item, cf_top_n_user,
         recommendation_report_item, recommendation_report_user,

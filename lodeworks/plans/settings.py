@@ -31,6 +31,8 @@ REG = 0.1
 # From a rate that descends at every scale of the tables, each half of the one before.
 LEARNING_RATES = (0.009, 0.0045, 0.00225)
 EPOCHS = 40
+# Added to ids to make them wider than int.
+WIDE_IDS = 3_000_000_000
 # Epochs of the run in blocks, which takes several jobs for each.
 BLOCK_EPOCHS, MF_BLOCKS = 3, 2
 

@@ -82,9 +82,13 @@ def read_centroids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """`pos, user, item, rating`: lines `user item rating`, pos = line number from 0."""
+    """`pos, user, item, rating`: lines `user item rating`, pos = line number from 0.
+
+    A line of other than three fields is an error that names it.
+    """
     parts = numbered_lines(spark, path).select("line_no", F.split(F.trim("value"), WHITESPACE).alias("parts"))
-    return parts.where(F.size("parts") == 3).select(
+    fault = F.raise_error(F.format_string("line %d is not `user item rating`", "line_no")).cast("boolean")
+    return parts.where(F.when(F.size("parts") == 3, True).otherwise(fault)).select(
         F.col("line_no").alias("pos"),
         F.col("parts")[0].cast("bigint").alias("user"),
         F.col("parts")[1].cast("bigint").alias("item"),

@@ -27,8 +27,8 @@ def dense(frame, shape, names):
 
 def brute(R):
     du, di = R.sum(1), R.sum(0)
-    pu = np.divide(1, np.sqrt(du), out=np.zeros_like(du), where=du > 0)
-    qi = np.divide(1, np.sqrt(di), out=np.zeros_like(di), where=di > 0)
+    pu = np.divide(1, np.sqrt(np.maximum(du, 0)), out=np.zeros_like(du), where=du > 0)
+    qi = np.divide(1, np.sqrt(np.maximum(di, 0)), out=np.zeros_like(di), where=di > 0)
     Su, Si = pu[:, None] * (R @ R.T) * pu, qi[:, None] * (R.T @ R) * qi
     return Su, Si, Su @ R, R @ Si
 
@@ -89,3 +89,15 @@ def test_top_in_the_task_changes_nothing(spark, matrix):
         early = scores(seen, top=3)
         assert cf.cf_top_n(early, 3).orderBy("user", "rank").collect() == whole
         assert early.count() < scores(seen).count()
+
+
+@pytest.mark.parametrize("max_dense", [2000, 0])
+def test_sums_of_zero_or_less_are_similar_to_none(spark, monkeypatch, max_dense):
+    monkeypatch.setattr(cf, "MAX_DENSE", max_dense)
+    R = np.array([[1, -1, 0, 0], [1, 1, 1, 0], [0, -2, 1, 0], [2, 1, 0, 1], [0, 1, 1, 1]], float)
+    Su, Si, Yu, Yi = brute(R)
+    seen = sparse(spark, R).union(sparse(spark, R)).withColumn("r", cf.F.col("r") / 2)  # every cell twice
+    assert dense(cf.item_similarity(seen), Si.shape, "i j sim".split()) == pytest.approx(Si)
+    assert dense(cf.user_similarity(seen), Su.shape, "u v sim".split()) == pytest.approx(Su)
+    assert dense(cf.cf_scores_item(seen), Yi.shape, "user item score".split()) == pytest.approx(Yi)
+    assert dense(cf.cf_scores_user(seen), Yu.shape, "user item score".split()) == pytest.approx(Yu)

@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from conftest import rows
 
+from pyspark.sql import functions as F
+
 from lodeworks.operators import factor
 
 
@@ -122,6 +124,21 @@ def test_als_fits_better_than_the_start(spark):
     assert best < worst
 
 
+def test_dense_ids_are_ranks(spark):
+    ids = [3_000_000_000, -5, 7, 7, None, 2**62, 0] + list(range(100, 400, 3))
+    found = factor.dense_ids(spark.createDataFrame([(i,) for i in ids], "id bigint").repartition(5))
+    assert {r["id"]: r["n"] for r in found.collect()} == {v: n for n, v in enumerate(sorted({i for i in ids if i is not None}))}
+    assert factor.dense_ids(spark.createDataFrame([], "id bigint")).count() == 0
+
+
+def test_als_takes_ids_beyond_int(spark):
+    ratings = frame(spark, some_ratings(200, 20, 15))
+    wide = ratings.withColumns({c: F.col(c).cast("bigint") + 3_000_000_000 for c in ("user", "item")})
+    plain, shifted = ([{r["id"]: r["f"] for r in f.collect()} for f in factor.mf_als(x, k=3, iters=3)] for x in (ratings, wide))
+    for one, other in zip(plain, shifted):
+        assert {i + 3_000_000_000 for i in one} == set(other)
+
+
 def test_waves_keep_the_order_of_each_row():
     random = np.random.default_rng(2)
     users, items = random.integers(0, 6, 200), random.integers(0, 9, 200)

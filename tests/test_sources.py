@@ -94,3 +94,10 @@ def test_score_and_trace_reports(spark, tmp_path):
     assert writers.cost_lines(drops).first()["value"] == "l2 x: Cost changed to: 50.00%\tDropped: 50.00%"
     writers.write_parquet(trace, str(tmp_path / "pq"))
     assert rows(readers.read_parquet(spark, str(tmp_path / "pq"))) == rows(trace)
+
+
+@pytest.mark.parametrize("bad", ["1 2", "1 2 3 4", ""])
+def test_malformed_ratings_stop(spark, tmp_path, bad):
+    found = readers.read_ratings(spark, write(tmp_path / "bad.txt", f"1 2 3\n{bad}\n4 5 1\n"))
+    with pytest.raises(Exception, match="line 1 is not"):
+        found.count()
