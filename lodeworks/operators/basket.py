@@ -110,7 +110,7 @@ def _stem_sizes(stems: DataFrame, stem: list[str], baskets: GroupSizes, block_ro
     """Sizes of the (basket, stem) groups. Hot ones lie in hot baskets, so often there can be none."""
     if baskets.hot is None:
         return baskets
-    within = stems.join(F.broadcast(baskets.hot.select("basket_id")), "basket_id", "left_semi")
+    within = stems.join(baskets.hot.select("basket_id"), "basket_id", "left_semi")
     return replace(group_sizes(within, ["basket_id", *stem], block_rows), pairs=baskets.pairs)
 
 

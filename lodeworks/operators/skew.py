@@ -9,6 +9,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodeworks.operators.checkpoints import scratch_path, store
+
 # A group larger than this is cut into blocks of about this many members, so one
 # task row holds at most two blocks.
 BLOCK_ROWS = 1024
@@ -61,8 +63,8 @@ def group_sizes(rows: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_RO
 
     A job of its own: a count per group, combined before the shuffle. Most data
     has no hot group, and then the plan that makes the pairs needs no join and
-    no copies. Otherwise the hot groups stay a table, all of them; it is broadcast
-    if the job has counted few enough.
+    no copies. Otherwise the hot groups are stored as a table, all of them, so that no
+    later step counts again; it is broadcast if the job has counted few enough.
     """
     n = F.col("_n")
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -74,7 +76,7 @@ def group_sizes(rows: DataFrame, keys: Sequence[str], block_rows: int = BLOCK_RO
     pairs = float(total["pairs"] or 0)
     if not total["hot"]:
         return GroupSizes(None, pairs, total["groups"])
-    hot = sizes.where(n > block_rows)
+    hot = store(sizes.where(n > block_rows), scratch_path(rows.sparkSession, "hot-groups"))
     return GroupSizes(F.broadcast(hot) if total["hot"] <= BROADCAST_ROWS else hot, pairs, total["groups"])
 
 

@@ -117,3 +117,16 @@ def test_top_rules_order(spark):
 def test_unknown_count_mode(held):
     with pytest.raises(ValueError):
         basket.frequent_pairs(held, 3, "weight")
+
+
+@pytest.mark.parametrize("limit", [10, 0])
+def test_hot_baskets_are_broadcast_only_below_the_limit(held, monkeypatch, limit):
+    from lodeworks.operators import skew
+
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+    baskets = skew.group_sizes(held.distinct(), ["basket_id"], 2)
+    seen = []
+    monkeypatch.setattr(basket, "group_sizes", lambda found, *_: seen.append(found) or baskets)
+    basket._stem_sizes(held, ["item"], baskets, 2)
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit == 10)

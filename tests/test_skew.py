@@ -76,3 +76,14 @@ def test_broadcast_only_below_the_limit(spark):
 
     assert "strategy=broadcast" in plan(skew.broadcast_if_small(table, 20))
     assert "strategy=broadcast" not in plan(skew.broadcast_if_small(table, 19))
+
+
+@pytest.mark.parametrize("limit", [10, 1])
+def test_more_hot_groups_than_may_be_broadcast(members, monkeypatch, limit):
+    monkeypatch.setattr(skew, "BROADCAST_ROWS", limit)
+    sizes = skew.group_sizes(members, ["g"], 3)
+    plan = sizes.hot.join(members, "g")._jdf.queryExecution().optimizedPlan().toString()
+    assert ("strategy=broadcast" in plan) == (limit == 10)
+    # The stored table is read again, nothing is counted twice.
+    assert "Aggregate" not in sizes.hot._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(skew.pairs_within(members, ["g"], "m", sizes, block_rows=3)) == expected()
