@@ -13,11 +13,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodeworks.operators.skew import BLOCK_ROWS, group_sizes, pairs_within, partitioned
+from lodeworks.operators.checkpoints import scratch_path, store
+from lodeworks.operators.skew import BLOCK_ROWS, broadcast_if_small, group_sizes, pairs_within, partitioned
 
 SCORE_DIGITS = 9
 # Wider than what rounding to SCORE_DIGITS can move.
 TIE_WIDTH = 1e-8
+# Share of a limit of similarity that the matched part of two rows must reach. More means shorter
+# lists of pairs to check, and longer prefixes.
+SHARE = 0.5
 
 # Up to this many members (32 MB of doubles squared) a task holds a whole
 # members x members table; DENSE_ROWS rows are worked on at a time.
@@ -149,6 +153,114 @@ def user_similarity(seen: DataFrame, mirror: bool = True, block_rows: int = BLOC
     return sim.select(F.col("i").alias("u"), F.col("j").alias("v"), "sim")
 
 
+def _unit_rows(cells: DataFrame) -> DataFrame:
+    """`user, item, w`: cells over the root of the row sum, so that similarity is the product of two rows."""
+    degree = cells.groupBy("user").agg(F.sum("r").alias("d")).where("d > 0")
+    return cells.join(degree, "user").select("user", "item", (F.col("r") / F.sqrt("d")).alias("w"))
+
+
+def _prefixes(rows: DataFrame, at_least: float) -> tuple[DataFrame, float]:
+    """`user, item, w, beyond, norm`: the cells by which users are matched; and the largest norm.
+
+    A row's items stand in one order for all, rare ones first. What follows the prefix has so
+    small a norm that its product with any row is below `at_least` * (1 - SHARE). `beyond` is that norm.
+    """
+    popular = rows.groupBy("item").agg(F.count(F.lit(1)).alias("_n"))
+    from_the_end = Window.partitionBy("user").orderBy(F.desc("_n"), F.desc("item"))
+    sums = (
+        rows.join(broadcast_if_small(popular), "item")
+        .withColumn("_rest", F.sum(F.col("w") * F.col("w")).over(from_the_end.rowsBetween(Window.unboundedPreceding, 0)))
+    )
+    norms = rows.groupBy("user").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
+    largest = norms.agg(F.max("norm")).first()[0] or 0.0
+    inside = F.sqrt("_rest") * largest >= at_least * (1 - SHARE) - TIE_WIDTH
+    cut = sums.groupBy("user").agg(F.sqrt(F.coalesce(F.max(F.when(~inside, F.col("_rest"))), F.lit(0.0))).alias("beyond"))
+    return sums.where(inside).select("user", "item", "w").join(cut, "user").join(norms, "user"), largest
+
+
+def similar_candidates(rows: DataFrame, at_least: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """`a, b` (a < b): the pairs of `user, item, w` rows whose product may reach `at_least` > 0.
+
+    Two rows whose prefixes share no item have a product below the limit: beyond the shorter
+    prefix, one factor is what follows that prefix. Of the others, those are left whose product inside
+    the prefixes, with the most that the rest can add (the norm of the one's rest times that of
+    the other's row), reaches the limit.
+    """
+    prefixes, _ = _prefixes(rows, at_least)
+    prefixes = store(prefixes, scratch_path(rows.sparkSession, "prefixes"))
+    sizes = group_sizes(prefixes, ["item"], block_rows)
+    pairs = pairs_within(prefixes.select("item", "user", "w"), ["item"], "user", sizes, carry="w", block_rows=block_rows)
+    inside = pairs.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("_inside"))
+    # Cheap first: no rest adds more than this.
+    inside = inside.where(F.col("_inside") >= at_least * SHARE - TIE_WIDTH)
+    ends = prefixes.select("user", "beyond", "norm").distinct()
+    for side in ("a", "b"):
+        inside = inside.join(ends.select(*[F.col(c).alias(f"_{c}_{side}") for c in ends.columns]).withColumnRenamed(f"_user_{side}", side), side)
+    rest = F.greatest(F.col("_beyond_a") * F.col("_norm_b"), F.col("_beyond_b") * F.col("_norm_a"))
+    return inside.where(F.col("_inside") + rest >= at_least - TIE_WIDTH).select("a", "b")
+
+
+def _product_of(pairs: DataFrame, rows: DataFrame) -> DataFrame:
+    """`a, b, sim`: whole products of the given pairs of users, from the shorter row of each."""
+    length = rows.groupBy("user").agg(F.count(F.lit(1)).alias("_n"))
+    sided = pairs
+    for side in ("a", "b"):
+        sided = sided.join(length.select(F.col("user").alias(side), F.col("_n").alias(f"_{side}")), side)
+    first = F.col("_a") <= F.col("_b")
+    sided = sided.select("a", "b", F.when(first, F.col("a")).otherwise(F.col("b")).alias("_short"),
+                         F.when(first, F.col("b")).otherwise(F.col("a")).alias("_long"))
+    return (
+        sided.join(rows.select(F.col("user").alias("_short"), "item", F.col("w").alias("_w")), "_short")
+        .join(rows.withColumnRenamed("user", "_long"), ["_long", "item"])
+        .groupBy("a", "b")
+        .agg(F.round(F.sum(F.col("_w") * F.col("w")), SCORE_DIGITS).alias("sim"))
+    )
+
+
+def similar_users(seen: DataFrame, at_least: float, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """`u, v, sim` for u < v: the pairs whose similarity, rounded to SCORE_DIGITS, is `at_least` (> 0) or more.
+
+    Pairs that cannot reach it are never made, see `similar_candidates`. For items, name the columns the
+    other way round.
+    """
+    if at_least <= 0:
+        raise ValueError("at_least must be above 0; user_similarity gives all pairs")
+    spark = seen.sparkSession
+    rows = store(_unit_rows(_cells(seen)), scratch_path(spark, "unit-rows"))
+    found = _product_of(similar_candidates(rows, at_least, block_rows), rows)
+    return found.where(F.col("sim") >= at_least).select(F.col("a").alias("u"), F.col("b").alias("v"), "sim")
+
+
+def similar_users_top_n(
+    seen: DataFrame, n: int = 5, start: float = 0.5, block_rows: int = BLOCK_ROWS
+) -> DataFrame:
+    """`user, other, sim, rank`: the n users most similar to each, of those above 0; ties go to the lower id.
+
+    Whoever has n others of `start` or more is served from those pairs. The rest are compared with all that they
+    share an item with. `start` decides about time, not about rows.
+    """
+    spark = seen.sparkSession
+    cells = store(_cells(seen), scratch_path(spark, "cells"))
+    near = similar_users(cells, start, block_rows).withColumnRenamed("u", "i").withColumnRenamed("v", "j")
+    near = store(_mirrored(near, "sim"), scratch_path(spark, "near-users"))
+    rows = store(_unit_rows(cells), scratch_path(spark, "unit-rows"))
+    served = near.groupBy("i").count().where(F.col("count") >= n).select(F.col("i").alias("user"))
+    mine = rows.join(broadcast_if_small(served), "user", "left_anti")
+    other = rows.select(F.col("user").alias("j"), "item", F.col("w").alias("_w"))
+    rest = (
+        mine.withColumnRenamed("user", "i")
+        .join(other, "item")
+        .where(F.col("i") != F.col("j"))
+        .groupBy("i", "j")
+        .agg(F.round(F.sum(F.col("w") * F.col("_w")), SCORE_DIGITS).alias("sim"))
+        .where("sim > 0")
+    )
+    found = near.join(served, F.col("i") == F.col("user"), "left_semi").unionByName(rest)
+    best_first = Window.partitionBy("i").orderBy(F.desc("sim"), "j")
+    ranked = found.withColumn("rank", F.row_number().over(best_first).cast("bigint")).where(F.col("rank") <= n)
+    return ranked.select(F.col("i").alias("user"), F.col("j").alias("other"), "sim", "rank")
+
+
 def _dense_scores(
     rows: DataFrame, members: np.ndarray, table: np.ndarray, weighted: bool, top: int | None
 ) -> DataFrame:

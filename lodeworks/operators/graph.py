@@ -5,24 +5,24 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import replace
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodeworks.operators.checkpoints import scratch_path, store
 from lodeworks.operators.skew import (
     BLOCK_ROWS,
     BROADCAST_ROWS,
     GroupSizes,
     broadcast_if_small,
     group_sizes,
+    is_small,
     pairs_within,
 )
 
-# A vertex whose list makes more pairs than this is a hub; only the largest few
-# are treated as such, as a class is kept per set of hubs.
+# A vertex whose list makes more pairs than this is a hub. The limit decides about time, not about rows.
 HUB_PAIRS = 20_000_000
-MAX_HUBS = 4
-# Lowest ids that each class of users offers as candidates.
-CLASS_IDS = 1024
+# Candidates kept for users with the same hubs; who is not served by them is computed alone.
+OFFERED = 1024
 
 
 def _adjacency(edges: DataFrame, src: str, dst: str) -> DataFrame:
@@ -79,94 +79,141 @@ def _selected_counts(lists: DataFrame, users: DataFrame) -> DataFrame:
     return counts.join(near, ["user", "candidate"], "left_anti")
 
 
-def _hub_ids(sizes: GroupSizes, hub_pairs: float) -> list[int]:
-    """The few vertices whose lists alone would make more than `hub_pairs` pairs."""
-    if sizes.hot is None:
-        return []
+def _pairs_of_group() -> Column:
     n = F.col("_n").cast("double")
-    largest = sizes.hot.where(n * (n - 1) / 2 > hub_pairs).orderBy(F.desc("_n"), "src").limit(MAX_HUBS)
-    return [r["src"] for r in largest.collect()]
+    return n * (n - 1) / 2
+
+
+def _hubs(sizes: GroupSizes, hub_pairs: float) -> DataFrame | None:
+    """`src, _n`: all vertices whose lists alone would make more than `hub_pairs` pairs, if there are any."""
+    if sizes.hot is None:
+        return None
+    hubs = sizes.hot.where(_pairs_of_group() > hub_pairs)
+    return hubs if hubs.head(1) else None
+
+
+def _class_overlaps(classes: DataFrame, block_rows: int) -> DataFrame:
+    """`class, other, n_mutual`: hubs that two classes have in common, where there are any; itself included."""
+    listed = classes.select("class", F.explode("hubs").alias("hub"))
+    pairs = pairs_within(listed, ["hub"], "class", group_sizes(listed, ["hub"], block_rows), block_rows=block_rows)
+    across = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n_mutual"))
+    itself = classes.select("class", F.col("class").alias("other"), F.size("hubs").cast("bigint").alias("n_mutual"))
+    return _both_ways(across, "a", "b", ("class", "other"), "n_mutual").unionByName(itself)
+
+
+def _class_lists(classes: DataFrame, members: DataFrame, offered: int, block_rows: int) -> DataFrame:
+    """`class, candidate, n_mutual, more`: the first `offered` users in the order of a class; `more` if there are others.
+
+    Classes that share fewer hubs than are needed to fill the list offer nothing, and the others
+    their lowest ids.
+    """
+    spark = classes.sparkSession
+    met = store(_class_overlaps(classes, block_rows), scratch_path(spark, "class-overlaps"))
+    of_other = classes.select(F.col("class").alias("other"), "members")
+    better = Window.partitionBy("class").orderBy(F.desc("n_mutual")).rowsBetween(Window.unboundedPreceding, -1)
+    reach = (
+        met.join(of_other, "other")
+        .groupBy("class", "n_mutual")
+        .agg(F.sum("members").alias("_all"), F.sum(F.least("members", F.lit(offered))).alias("_offers"))
+        .withColumn("_before", F.coalesce(F.sum("_offers").over(better), F.lit(0)))
+        .groupBy("class")
+        .agg(F.sum("_all").alias("_all"), F.min(F.when(F.col("_before") < offered, F.col("n_mutual"))).alias("_least"))
+        .select("class", "_least", (F.col("_all") > offered).alias("more"))
+    )
+    lowest = Window.partitionBy("class").orderBy("user")
+    first = (
+        members.withColumn("_r", F.row_number().over(lowest))
+        .where(F.col("_r") <= offered)
+        .select(F.col("class").alias("other"), F.col("user").alias("candidate"))
+    )
+    in_order = Window.partitionBy("class").orderBy(F.desc("n_mutual"), "candidate")
+    listed = (
+        met.join(reach, "class")
+        .where(F.col("n_mutual") >= F.col("_least"))
+        .join(first, "other")
+        .withColumn("_r", F.row_number().over(in_order))
+        .where(F.col("_r") <= offered)
+        .select("class", "candidate", "n_mutual", "more")
+    )
+    return store(listed, scratch_path(spark, "class-lists"))
 
 
 def _around_hubs(
-    lists: DataFrame, hubs: list[int], sizes: GroupSizes, n: int, offered: int, block_rows: int
+    lists: DataFrame, hubs: DataFrame, sizes: GroupSizes, n: int, offered: int, block_rows: int, hub_pairs: float
 ) -> DataFrame:
     """`user, candidate, n_mutual` with the n best of every user, no hub's pairs being made.
 
     What the hubs add to the score of two users is the number of hubs whose
-    lists hold both. So users fall into at most 2^hubs - 1 classes, and among
-    users of one class the lower id is better. A candidate is either found
-    through another vertex, or one of the first n of its class that the user is
-    not connected to: any n better ones would also be better in full.
+    lists hold both. So users with the same hubs form a class, named by its lowest
+    user, and users of one class see all others in the same order as far as hubs go. A candidate is
+    either found through another vertex, or one of the first n in the order of
+    the class that the user is not connected to: any n better ones would also be better in full.
 
-    Each class offers its `offered` lowest ids. A user connected to so many of
+    A class keeps the first `offered` users of its order. A user connected to so many of
     them that fewer than n are left, while the class has more, is computed by
-    `_selected_counts` instead.
+    `_selected_counts` instead. Classes meet by the hubs they share, as users would, but each
+    once; if every user is a class of its own, that is the work of the plain way.
     """
-    # Which hubs list a user, as bits.
-    bit = F.lit(0)
-    for place, hub in enumerate(hubs):
-        bit = F.when(F.col("src") == hub, 1 << place).otherwise(bit)
-    of_hubs = F.col("src").isin(hubs)
-    masks = lists.where(of_hubs).groupBy(F.col("dst").alias("user")).agg(F.bit_or(bit).alias("mask")).persist()
-
-    rest = replace(
-        sizes, hot=sizes.hot.where(~of_hubs), pairs=max(0.0, sizes.pairs - float(_pairs_of_hubs(sizes, hubs)))
+    spark = lists.sparkSession
+    hub = hubs.select("src")
+    signed = (
+        lists.join(hub, "src", "left_semi")
+        .groupBy(F.col("dst").alias("user"))
+        .agg(F.sort_array(F.collect_set("src")).alias("hubs"))
     )
-    found = drop_connected(_counts(lists.where(~of_hubs), rest, block_rows), lists)
+    signed = store(signed, scratch_path(spark, "hub-users"))
+    classes = signed.groupBy("hubs").agg(F.min("user").alias("class"), F.count(F.lit(1)).alias("members"))
+    classes = store(classes, scratch_path(spark, "hub-classes"))
+    members = store(signed.join(classes, "hubs").select("user", "class"), scratch_path(spark, "class-members"))
+
+    of_hubs = _pairs_of_group() > hub_pairs
+    saved = sizes.hot.where(of_hubs).agg(F.sum(_pairs_of_group())).first()[0]
+    rest = replace(sizes, hot=sizes.hot.where(~of_hubs), pairs=max(0.0, sizes.pairs - saved))
+    found = drop_connected(_counts(lists.join(hub, "src", "left_anti"), rest, block_rows), lists)
     for side in ("u", "v"):
-        found = found.join(masks.select(F.col("user").alias(side), F.col("mask").alias(f"_{side}")), side, "left")
-    shared = F.bit_count(F.coalesce("_u", F.lit(0)).bitwiseAND(F.coalesce("_v", F.lit(0))))
+        found = found.join(signed.select(F.col("user").alias(side), F.col("hubs").alias(f"_{side}")), side, "left")
+    both = F.col("_u").isNotNull() & F.col("_v").isNotNull()
+    shared = F.when(both, F.size(F.array_intersect("_u", "_v"))).otherwise(0)
     found = found.select("u", "v", (F.col("n") + shared).alias("n_mutual"))
     directed = _both_ways(found, "u", "v", ("user", "candidate"), "n_mutual")
 
-    lowest = Window.partitionBy("mask").orderBy("user")
-    first = masks.withColumn("_r", F.row_number().over(lowest)).where(F.col("_r") <= offered).collect()
-    ids: dict[int, list[int]] = {}
-    for r in sorted(first, key=lambda r: (r["mask"], r["_r"])):
-        ids.setdefault(r["mask"], []).append(r["user"])
-    members = {r["mask"]: r["count"] for r in masks.groupBy("mask").count().collect()}
-    spark = lists.sparkSession
-    classes = spark.createDataFrame(
-        [(c, listed, members[c] > len(listed)) for c, listed in ids.items()], "_c int, ids array<bigint>, more boolean"
+    listed = _class_lists(classes, members, offered, block_rows)
+    few = is_small(listed)
+    entry = F.struct((-F.col("n_mutual")).alias("less"), "candidate")
+    in_order = listed.groupBy("class").agg(
+        F.sort_array(F.collect_list(entry)).alias("_list"), F.first("more").alias("more")
     )
-    listed = spark.createDataFrame(
-        [(i,) for i in sorted({i for all_ids in ids.values() for i in all_ids})], "other bigint"
-    )
-    near = (
-        _both_ways(lists, "src", "dst", ("user", "other"))
-        .join(F.broadcast(listed), "other", "left_semi")
+    itself = members.select("user", F.col("user").alias("candidate"))
+    known = _both_ways(lists, "src", "dst", ("user", "candidate")).unionByName(itself)
+    rows = listed.select("class", "candidate", "n_mutual")
+    taken = (
+        known.join(members, "user")
+        .join(F.broadcast(rows) if few else rows, ["class", "candidate"])
         .groupBy("user")
-        .agg(F.collect_set("other").alias("near"))
+        .agg(F.collect_set(entry).alias("_taken"))
     )
-    taken = F.array_append(F.coalesce("near", F.array().cast("array<bigint>")), F.col("user"))
     offers = (
-        masks.select("user", "mask", F.explode(F.array(*[F.lit(c) for c in ids])).alias("_c"))
-        .withColumn("n_mutual", F.bit_count(F.col("mask").bitwiseAND(F.col("_c"))).cast("bigint"))
-        .where(F.col("n_mutual") > 0)
-        .join(near, "user", "left")
-        .join(F.broadcast(classes), "_c")
-        .select("user", "n_mutual", "more", F.slice(F.array_except("ids", taken), 1, n).alias("free"))
-        .persist()
+        members.join(F.broadcast(in_order) if few else in_order, "class")
+        .join(taken, "user", "left")
+        .withColumn("free", F.when(F.col("_taken").isNull(), F.col("_list")).otherwise(F.array_except("_list", "_taken")))
+        .select("user", "more", F.slice("free", 1, n).alias("free"))
+    )
+    offers = store(offers, scratch_path(spark, "class-offers"))
+    from_class = offers.select("user", F.explode("free").alias("_f")).select(
+        "user", "_f.candidate", (-F.col("_f.less")).alias("n_mutual")
     )
-    from_class = offers.select("user", F.explode("free").alias("candidate"), "n_mutual")
     best = (
         directed.unionByName(from_class)
         .groupBy("user", "candidate")
         .agg(F.max("n_mutual").alias("n_mutual"))
     )
-    short = offers.where(F.col("more") & (F.size("free") < n)).select("user").distinct()
+    short = offers.where(F.col("more") & (F.size("free") < n)).select("user")
     if not short.head(1):
         return best
     short = broadcast_if_small(short)
     return best.join(short, "user", "left_anti").unionByName(_selected_counts(lists, short))
 
 
-def _pairs_of_hubs(sizes: GroupSizes, hubs: list[int]) -> float:
-    n = F.col("_n").cast("double")
-    return sizes.hot.where(F.col("src").isin(hubs)).agg(F.sum(n * (n - 1) / 2)).first()[0] or 0.0
-
-
 def recommend_friends(
     edges: DataFrame,
     vertices: DataFrame,
@@ -177,7 +224,7 @@ def recommend_friends(
     vertex: str = "id",
     block_rows: int = BLOCK_ROWS,
     hub_pairs: float = HUB_PAIRS,
-    offered: int = CLASS_IDS,
+    offered: int = OFFERED,
 ) -> DataFrame:
     """`user, candidate, n_mutual, rank`: the n best non-friends of each vertex.
 
@@ -195,9 +242,9 @@ def recommend_friends(
         directed = _selected_counts(lists, F.broadcast(named) if len(wanted) <= BROADCAST_ROWS else named)
     else:
         sizes = group_sizes(lists, ["src"], block_rows)
-        hubs = _hub_ids(sizes, hub_pairs)
-        if hubs:
-            directed = _around_hubs(lists, hubs, sizes, n, max(offered, n), block_rows)
+        hubs = _hubs(sizes, hub_pairs)
+        if hubs is not None:
+            directed = _around_hubs(lists, hubs, sizes, n, max(offered, n), block_rows, hub_pairs)
         else:
             pairs = drop_connected(_counts(lists, sizes, block_rows), lists)
             directed = _both_ways(pairs, "u", "v", ("user", "candidate"), "n").withColumnRenamed("n", "n_mutual")

@@ -259,6 +259,7 @@ def sql() -> dict[str, str]:
         "mutual_friend_counts": f"WITH {EDGES} SELECT u, v, n FROM mutual",
         "non_friend_pairs": f"WITH {EDGES} SELECT u, v, n FROM strangers",
         "recommend_friends": f"{RECOMMENDED} GROUP BY 1",
+        "recommend_friends_hubs": f"{RECOMMENDED} GROUP BY 1",
         "recommend_friends_selected": f"{RECOMMENDED} WHERE p.p_partkey IN ({_list(S.REPORT_USERS)}) GROUP BY 1",
         "frequent_items": f"WITH {MARKET}, {ITEMS} SELECT a, n FROM f1",
         "frequent_items_occurrence": f"WITH {MARKET}, {ITEMS} SELECT a, n FROM g1",
@@ -316,6 +317,13 @@ def sql() -> dict[str, str]:
         "item_degree": f"WITH {SEEN} SELECT item, d FROM di",
         "item_similarity": f"WITH {SEEN} SELECT i, j, round(sim, {D}) AS sim FROM si",
         "user_similarity": f"WITH {SEEN} SELECT u, v, round(sim, {D}) AS sim FROM su",
+        "similar_users": f"""WITH {SEEN} SELECT u, v, round(sim, {D}) AS sim FROM su
+            WHERE u < v AND round(sim, 9) >= {S.SIMILAR}::DOUBLE""",
+        "similar_users_top_n": f"""WITH {SEEN},
+            ranked AS (
+              SELECT u, v, sim, row_number() OVER (PARTITION BY u ORDER BY round(sim, 9) DESC, v) AS rank
+              FROM su WHERE u <> v)
+            SELECT u AS "user", v AS other, round(sim, {D}) AS sim, rank FROM ranked WHERE rank <= {S.TOP_SCORES}""",
         "cf_scores_item": f'WITH {SEEN} SELECT "user", item, round(score, {D}) AS score FROM yi',
         "cf_scores_user": f'WITH {SEEN} SELECT "user", item, round(score, {D}) AS score FROM yu',
         "cf_top_n_item": _top("yi"),

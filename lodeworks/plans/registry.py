@@ -37,6 +37,15 @@ def recommend_friends(spark: SparkSession, sf: str) -> DataFrame:
     return friend_lists(found)
 
 
+def recommend_friends_hubs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rows, with limits so low that many vertices are hubs."""
+    found = graph.recommend_friends(
+        inputs.friend_edges(spark, sf), inputs.people(spark, sf), settings.TOP_FRIENDS,
+        block_rows=settings.LOW_BLOCK_ROWS, hub_pairs=settings.LOW_HUB_PAIRS,
+    )
+    return friend_lists(found)
+
+
 def recommend_friends_selected(spark: SparkSession, sf: str) -> DataFrame:
     found = graph.recommend_friends(
         inputs.friend_edges(spark, sf), inputs.people(spark, sf), settings.TOP_FRIENDS, settings.REPORT_USERS
@@ -358,6 +367,14 @@ def user_similarity(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(cf.user_similarity(inputs.seen(spark, sf)), "sim")
 
 
+def similar_users(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(cf.similar_users(inputs.seen(spark, sf), settings.SIMILAR), "sim")
+
+
+def similar_users_top_n(spark: SparkSession, sf: str) -> DataFrame:
+    return _rounded(cf.similar_users_top_n(inputs.seen(spark, sf), settings.TOP_SCORES, settings.SIMILAR), "sim")
+
+
 def cf_scores_item(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(cf.cf_scores_item(inputs.seen(spark, sf)), "score")
 
@@ -395,7 +412,7 @@ def recommendation_report_user(spark: SparkSession, sf: str) -> DataFrame:
 
 def registered() -> dict[str, Query]:
     plain = [
-        mutual_friend_counts, non_friend_pairs, recommend_friends, recommend_friends_selected,
+        mutual_friend_counts, non_friend_pairs, recommend_friends, recommend_friends_hubs, recommend_friends_selected,
         frequent_items, frequent_items_occurrence, frequent_pairs, frequent_pairs_occurrence,
         frequent_triples, frequent_triples_occurrence, frequent_itemsets, frequent_itemsets_fp,
         rules_1to1, rules_2to1, top_rules_1to1, top_rules_2to1,
@@ -404,7 +421,7 @@ def registered() -> dict[str, Query]:
         kmeans_assign_l1, kmeans_assign_l2, kmeans_update,
         rating_ranges, mf_init, mf_objective, mf_fit, mf_fit_blocks, mf_lr_sweep, mf_als,
         mf_fit_descends, mf_sweep_descends, mf_als_fits, mf_als_wide_ids,
-        user_degree, item_degree, item_similarity, user_similarity,
+        user_degree, item_degree, item_similarity, user_similarity, similar_users, similar_users_top_n,
         cf_scores_item, cf_scores_user, cf_top_n_item, cf_top_n_user,
         recommendation_report_item, recommendation_report_user,
     ]

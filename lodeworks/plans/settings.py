@@ -6,6 +6,8 @@ from lodeworks.operators.neighbors import lsh_family
 SUPPORT_SHARE = 0.06
 TOP_RULES = 5
 TOP_FRIENDS = 10
+# Limits at which vertices of the test tables count as hubs.
+LOW_BLOCK_ROWS, LOW_HUB_PAIRS = 8, 250
 # The users of the short friend report: every 19th part from 15 on, below 200, the parts of the smallest scale.
 REPORT_USERS = list(range(15, 200, 19))
 # The rows used as search queries.
@@ -37,6 +39,8 @@ WIDE_IDS = 3_000_000_000
 BLOCK_EPOCHS, MF_BLOCKS = 3, 2
 
 TOP_SCORES = 5
+# Similarity that counts as high.
+SIMILAR = 0.5
 # The recommendation report: every 9th customer from 10 on, and the items below a limit.
 REPORT_CUSTOMERS = list(range(10, 100, 9))
 REPORT_ITEMS = 100

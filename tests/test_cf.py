@@ -101,3 +101,56 @@ def test_sums_of_zero_or_less_are_similar_to_none(spark, monkeypatch, max_dense)
     assert dense(cf.user_similarity(seen), Su.shape, "u v sim".split()) == pytest.approx(Su)
     assert dense(cf.cf_scores_item(seen), Yi.shape, "user item score".split()) == pytest.approx(Yi)
     assert dense(cf.cf_scores_user(seen), Yu.shape, "user item score".split()) == pytest.approx(Yu)
+
+
+def pairs_of(R, at_least):
+    Su = brute(R)[0]
+    n = len(R)
+    return {(u, v): round(float(Su[u, v]), 9) for u in range(n) for v in range(u + 1, n) if round(float(Su[u, v]), 9) >= at_least}
+
+
+@pytest.mark.parametrize("at_least", [0.2, 0.5, 0.9])
+@pytest.mark.parametrize("kind", ["ones", "counts", "signed"])
+def test_similar_users(spark, matrix, at_least, kind):
+    draw = np.random.default_rng(2)
+    R = matrix * {"ones": 1, "counts": draw.integers(1, 5, matrix.shape), "signed": draw.choice([3, 2, -1], matrix.shape)}[kind]
+    R[12] = R[11]
+    found = cf.similar_users(sparse(spark, R), at_least, block_rows=5)
+    got = {(r["u"], r["v"]): r["sim"] for r in found.collect()}
+    assert got == pytest.approx(pairs_of(R, at_least))
+
+
+def test_few_pairs_are_made(spark):
+    draw = np.random.default_rng(4)
+    R = np.zeros((300, 120))
+    for u in range(300):  # popular items that nearly all share, and a few of a group's own
+        R[u, :4] = draw.random(4) < 0.6
+        R[u, 20 + u // 3] = 1
+        R[u, draw.integers(4, 20, 3)] = 1
+    rows_of = cf._unit_rows(cf._cells(sparse(spark, R)))
+    expected = pairs_of(R, 0.8)
+    made = {tuple(r) for r in cf.similar_candidates(rows_of, 0.8).collect()}
+    assert set(expected) <= made
+    sharing = int(np.count_nonzero(np.triu(R @ R.T, 1)))
+    assert len(made) < sharing / 10
+    prefixes, _ = cf._prefixes(rows_of, 0.8)
+    sizes = [r["count"] for r in prefixes.groupBy("item").count().collect()]
+    lists = R.sum(0)
+    assert sum(n * (n - 1) / 2 for n in sizes) < sum(n * (n - 1) / 2 for n in lists) * 0.8
+
+
+@pytest.mark.parametrize("start", [0.05, 0.5, 0.95])
+def test_similar_users_top_n(spark, matrix, start):
+    Su = np.round(brute(matrix)[0], 9)
+    expected = []
+    for u in range(len(matrix)):
+        best = sorted((-Su[u, v], v) for v in range(len(matrix)) if v != u and Su[u, v] > 0)[:4]
+        expected += [(u, v, -s, k + 1) for k, (s, v) in enumerate(best)]
+    found = sorted(tuple(r) for r in cf.similar_users_top_n(sparse(spark, matrix), 4, start, block_rows=6).collect())
+    assert [(r[0], r[1], r[3]) for r in found] == [(r[0], r[1], r[3]) for r in sorted(expected)]
+    assert [r[2] for r in found] == pytest.approx([r[2] for r in sorted(expected)])
+
+
+def test_no_limit_is_refused(spark, matrix):
+    with pytest.raises(ValueError):
+        cf.similar_users(sparse(spark, matrix), 0)

@@ -111,9 +111,26 @@ def test_hubs_without_their_pairs(spark, offered):
     assert rows(found) == ranked_rows(edges, range(80), 5)
 
 
+@pytest.mark.parametrize("hub_pairs", [0, 40, 1e9])
+def test_any_number_of_hubs(spark, hub_pairs):
+    draw = random.Random(3)
+    pairs = [(h, i) for h in range(25) for i in range(25, 75) if draw.random() < 0.1 + h / 40]
+    pairs += [tuple(draw.sample(range(75), 2)) for _ in range(60)] + [(0, 80), (1, 80), (0, 81), (1, 81)]
+    edges = both(pairs)
+    found = graph.recommend_friends(
+        frame(spark, edges), people(spark, range(85)), n=6, block_rows=4, hub_pairs=hub_pairs, offered=10
+    )
+    assert rows(found) == ranked_rows(edges, range(85), 6)
+
+
 def test_hub_choice(spark):
     edges = both([(0, i) for i in range(1, 30)] + [(1, i) for i in range(2, 20)])
     lists = graph._adjacency(frame(spark, edges), "src", "dst")
-    assert graph._hub_ids(graph.group_sizes(lists, ["src"], 5), 100) == [0, 1]
-    assert graph._hub_ids(graph.group_sizes(lists, ["src"], 5), 200) == [0]
-    assert graph._hub_ids(graph.group_sizes(lists, ["src"], 50), 200) == []
+
+    def hubs(block_rows, hub_pairs):
+        found = graph._hubs(graph.group_sizes(lists, ["src"], block_rows), hub_pairs)
+        return found and sorted(r["src"] for r in found.collect())
+
+    assert hubs(5, 100) == [0, 1]
+    assert hubs(5, 200) == [0]
+    assert hubs(50, 200) is None
