@@ -6,13 +6,13 @@ from collections.abc import Iterable, Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeworks.functions.vectors import check_metric, gaps, matrix
+from lodeworks.operators.checkpoints import discard, scratch_path, store
 
 # Centroid coordinates that a driver and every task may hold.
 MAX_CENTROID_CELLS = 20_000_000
@@ -147,12 +147,14 @@ def kmeans_fit(
     `metric, init, iteration, cost, pct_of_first`. The cost of an iteration is
     measured against the centroids that enter it; all metrics move a centroid to
     the mean. All runs share one pass over the points per iteration, and only
-    k * d numbers per run come back to the driver.
+    k * d numbers per run come back to the driver. The vectors are stored once, as the
+    input may be dear to make, and deleted when the last iteration is done.
     """
     for metric in metrics:
         check_metric(metric)
     runs = {(metric, name): _on_driver(first) for metric in metrics for name, first in inits.items()}
-    kept = points.select(F.col(vector).alias("v")).persist(StorageLevel.MEMORY_AND_DISK)
+    path = scratch_path(points.sparkSession, "points")
+    kept = store(points.select(F.col(vector).alias("v")), path)
     trace = []
     try:
         for iteration in range(1, iters + 1):
@@ -160,7 +162,7 @@ def kmeans_fit(
             runs = {name: centers for name, (centers, _) in moved.items()}
             trace += [(*name, iteration, float(cost)) for name, (_, cost) in moved.items()]
     finally:
-        kept.unpersist()
+        discard(points.sparkSession, path)
     spark = points.sparkSession
     centroids = spark.createDataFrame(
         [(*name, cid, c.tolist()) for name, centers in runs.items() for cid, c in centers.items()],

@@ -180,6 +180,14 @@ FROM trace
 """
 
 
+def _drops() -> str:
+    tenth = " UNION ALL ".join(
+        f"SELECT * FROM ({_trace(metric, init)}) WHERE iteration = {S.DROP_AFTER}"
+        for metric in ("l1", "l2") for init in S.FIRST_CENTROIDS
+    )
+    return f"SELECT metric, init, pct_of_first, round(100 - pct_of_first, {D}) AS pct_dropped FROM ({tenth})"
+
+
 # Latent factors
 
 RATINGS = """
@@ -215,10 +223,11 @@ yu AS (SELECT su.u AS "user", r.item, sum(su.sim) AS score FROM su JOIN r ON r."
 """
 
 
-def _top(scores: str) -> str:
+def _top(scores: str, unseen: bool = False) -> str:
+    new = 'ANTI JOIN r USING ("user", item)' if unseen else ""
     return f"""
 WITH {SEEN},
-exact AS (SELECT "user", item, round(score, 9) AS score FROM {scores}),
+exact AS (SELECT "user", item, round(score, 9) AS score FROM {scores} {new}),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY score DESC, item) AS rank FROM exact)
 SELECT "user", item, round(score, {D}) AS score, rank FROM ranked WHERE rank <= {S.TOP_SCORES}
 """
@@ -301,6 +310,7 @@ def sql() -> dict[str, str]:
             sizes AS (SELECT cid, count(*) AS n, sum(cost) AS cost FROM a0 GROUP BY 1)
             SELECT CAST(cid AS INTEGER) AS cid, n, round(cost, {D}) AS cost, CAST(dim AS INTEGER) AS dim,
               round(x, {D}) AS x FROM sizes JOIN c1 USING (cid)""",
+        "kmeans_cost_drop": _drops(),
         "rating_ranges": f"""WITH {RATINGS} SELECT min("user") AS min_user, max("user") AS max_user,
             min(item) AS min_item, max(item) AS max_item, min(rating) AS min_rating, max(rating) AS max_rating
             FROM ratings""",
@@ -328,6 +338,7 @@ def sql() -> dict[str, str]:
         "cf_scores_user": f'WITH {SEEN} SELECT "user", item, round(score, {D}) AS score FROM yu',
         "cf_top_n_item": _top("yi"),
         "cf_top_n_user": _top("yu"),
+        "cf_top_n_unseen": _top("yi", unseen=True),
         "recommendation_report_item": _report("yi"),
         "recommendation_report_user": _report("yu"),
     }

@@ -259,6 +259,13 @@ def _trace(metric: str, init: str) -> Query:
     return query
 
 
+def kmeans_cost_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """What all four runs have saved of the first cost, in one pass over the vectors per iteration."""
+    first = {init: first_centroids(spark, sf, init) for init in settings.FIRST_CENTROIDS}
+    _, trace = cluster.kmeans_fit(inputs.vectors(spark, sf), first, iters=settings.DROP_AFTER)
+    return _rounded(cluster.cost_drop(trace, settings.DROP_AFTER), "pct_of_first", "pct_dropped")
+
+
 # Latent factors
 
 def rating_ranges(spark: SparkSession, sf: str) -> DataFrame:
@@ -393,6 +400,12 @@ def cf_top_n_user(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(cf.cf_top_n(scores, settings.TOP_SCORES), "score")
 
 
+def cf_top_n_unseen(spark: SparkSession, sf: str) -> DataFrame:
+    """The best items that a user has not seen."""
+    seen = inputs.seen(spark, sf)
+    return _rounded(cf.cf_top_n(cf.cf_scores_item(seen), settings.TOP_SCORES, seen=seen), "score")
+
+
 def _report(spark: SparkSession, sf: str, scores: DataFrame) -> DataFrame:
     """The best of the report's items for each of its customers, by name."""
     best = cf.cf_top_n(
@@ -418,11 +431,11 @@ def registered() -> dict[str, Query]:
         rules_1to1, rules_2to1, top_rules_1to1, top_rules_2to1,
         lsh_signatures, lsh_candidates, lsh_knn, distances, pair_distances, exact_knn, ann_error, ann_sweep,
         gram_matrix, eigen_sym, svd, svd_project, eigen_reconstruction, svd_reconstruction, svd_leading,
-        kmeans_assign_l1, kmeans_assign_l2, kmeans_update,
+        kmeans_assign_l1, kmeans_assign_l2, kmeans_update, kmeans_cost_drop,
         rating_ranges, mf_init, mf_objective, mf_fit, mf_fit_blocks, mf_lr_sweep, mf_als,
         mf_fit_descends, mf_sweep_descends, mf_als_fits, mf_als_wide_ids,
         user_degree, item_degree, item_similarity, user_similarity, similar_users, similar_users_top_n,
-        cf_scores_item, cf_scores_user, cf_top_n_item, cf_top_n_user,
+        cf_scores_item, cf_scores_user, cf_top_n_item, cf_top_n_user, cf_top_n_unseen,
         recommendation_report_item, recommendation_report_user,
     ]
     found: dict[str, Query] = {f.__name__: f for f in plain}

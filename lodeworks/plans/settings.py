@@ -24,8 +24,11 @@ SWEEP = {
 # Directions of the leading part of the decomposition.
 LEADING = 4
 
-FIRST_CENTROIDS = {"random": [0, 1, 2, 3, 4], "far": [0, 188, 291, 152, 366]}
+# Ten each: the first vectors, and from the first on always the one farthest from all before (at the second scale).
+FIRST_CENTROIDS = {"random": list(range(10)), "far": [0, 188, 291, 152, 366, 49, 11, 132, 80, 14]}
 KMEANS_ITERS = 20
+# After so many iterations the drop of the cost is reported.
+DROP_AFTER = 10
 
 FACTORS = 20
 TOP_RATING = 5.0
