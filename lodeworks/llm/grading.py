@@ -6,7 +6,7 @@ of capitals, signs and digits, how often words repeat). A cumulative-link model
 thresholds on the score: P(grade <= g) = logistic(threshold g - score). Expected grade and the
 probability of the top grade follow; the latter selects.
 
-The model is fitted on a bounded, documented sample of the labelled rows: about LABELLED rows
+The model is fitted on a bounded, documented sample of the labelled rows: the first LABELLED rows
 by a hash of doc_id, all if there are fewer; one tenth by another hash is left out for measuring.
 Tasks run AdaGrad over their part of the sample and their weights are averaged, a few
 times. What comes to the driver is the changed weights, PARTS times 2^BITS numbers a round at
@@ -15,8 +15,9 @@ most, whatever the size of the corpus. All documents are then scored where they
 Grades from the labels: 0 for bad quality, 1 for good but toxic, 2 for good.
 
 Defined cases: a NULL or empty text has the features of length 0 alone; labels with a NULL and
-labels of unknown documents are left out; repeated labels count each; repeated rows are scored one
-by one; without labels every score is 0 and the thresholds are those of no knowledge.
+labels of unknown documents are left out; repeated labels count once, and different ones of a document are
+a row each; of documents to learn from that share an id the least text is taken; repeated rows are scored one
+by one; input columns named like the new ones are replaced; without labels every score is 0 and the thresholds are those of no knowledge.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ HEAD = 4
 # A feature learns if it is in so many rows of a part and its share of some grade differs from
 # the part's by so many standard deviations. Others would only help texts to learn themselves.
 MIN_ROWS, MIN_DEVIATIONS = 8, 7.0
-# The bound of the sample that the model is fitted on.
+# The bound of the sample that the model is fitted on, in rows.
 LABELLED = 20_000
 PARTS, ROUNDS, EPOCHS, BATCH = 4, 4, 4, 32
 RATE, SHRINK = 0.2, 1e-4
@@ -103,17 +104,20 @@ def _fold(doc_id: str = "doc_id"):
 
 
 def graded(labels: DataFrame) -> DataFrame:
-    """`doc_id, grade`."""
+    """`doc_id, grade`, each once: labels that say the same of a document count as one."""
     known = labels.where("doc_id is not null and quality is not null and toxic is not null")
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
-    return known.select("doc_id", grade.cast("int").alias("grade"))
+    return known.select("doc_id", grade.cast("int").alias("grade")).distinct()
 
 
 def examples(docs: DataFrame, grades: DataFrame, labelled: int = LABELLED) -> DataFrame:
-    """`doc_id, grade, features` of about `labelled` rows outside of fold 0, stored."""
-    grades = grades.where(_fold() != 0)
-    share = min(1.0, labelled / max(1, grades.count()))
-    drawn = grades.where(F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1_000_000)) < int(share * 1_000_000))
+    """`doc_id, grade, features`, stored: `labelled` rows outside of fold 0, or all if there are fewer.
+
+    The rows drawn are the first by a hash, so reruns agree. Repeated grades of a document are one row, and of
+    documents that repeat an id the least text is taken, so neither adds rows beyond the bound.
+    """
+    grades = grades.distinct().where(_fold() != 0)
+    drawn = grades.orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id", "grade").limit(labelled)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
@@ -125,6 +129,7 @@ def examples(docs: DataFrame, grades: DataFrame, labelled: int = LABELLED) -> Da
 
     # Bounded by `labelled`, so a broadcast; the texts of other documents go no further.
     joined = docs.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    joined = joined.groupBy("doc_id", "grade").agg(F.min("text").alias("text"))
     return keep(joined.select("doc_id", "grade", "text").mapInArrow(scan, "doc_id long, grade int, features array<int>"), "examples")
 
 

@@ -33,7 +33,6 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,6 +145,8 @@ def _pieces(stream: DataFrame, base: dict[int, int], n: int, shards: Shards) ->
                 yield sequence, low - sequence * length, tokens[low - first : high - first]
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard  # where shards are written and read only
+
         pack = zstandard.ZstdCompressor(3)
         for batch in sliced(batches, "tokens", 1 << 24):
             found = list(cut(batch))
@@ -174,6 +175,8 @@ def _assembled(pieces: DataFrame, n: int, shards: Shards, fill: int) -> DataFram
     length, slots, dtype = shards.sequence_tokens, shards.shard_slots, np.dtype(shards.dtype)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard  # where shards are written and read only
+
         unpack = zstandard.ZstdDecompressor()
         current, buffer = -1, None
 

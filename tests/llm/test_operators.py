@@ -176,6 +176,50 @@ def test_grades_of_held_out_rows(spark):
     assert not none.weights.any()
 
 
+def test_sample_holds_to_its_bound(spark):
+    labels = spark.createDataFrame([(i, 1, i % 2) for i in range(400)] + [(7, 1, 1)] * 5000, "doc_id bigint, quality int, toxic int")
+    docs = spark.createDataFrame([(i, prose(i, 20)) for i in range(400)] + [(7, "other words")] * 3000, "doc_id bigint, text string")
+    grades = grading.graded(labels)
+    for bound in (50, 10_000):
+        got = grading.examples(docs, grades, bound).collect()
+        assert len(got) == min(bound, grades.where(grading._fold() != 0).count())
+        assert len({(r["doc_id"], r["grade"]) for r in got}) == len(got)
+        again = grading.examples(docs.repartition(3), grades.repartition(5), bound).collect()
+        assert sorted(map(str, got)) == sorted(map(str, again))
+
+
+def test_grade_probabilities_and_one_step_against_plain_formulas(monkeypatch):
+    draw = np.random.default_rng(5)
+    lists = [np.unique(draw.integers(0, 12, 4)) for _ in range(60)]
+    grades, weights = draw.integers(0, grading.GRADES, 60), draw.normal(0, 0.5, 16)
+    raw = np.array([-0.4, 0.7])
+
+    def chances(w, t, features):
+        below = [1 / (1 + np.exp(-(x - sum(w[f] for f in features)))) for x in t]
+        return np.diff([0, *below, 1])
+
+    def loss(w, t):
+        fit = -sum(np.log(chances(w, t, f)[g]) for f, g in zip(lists, grades))
+        return fit + grading.SHRINK / 2 * sum(w[f] ** 2 for f in range(12))
+
+    model = grading.Model(weights.astype(np.float32), raw)
+    grade, top = model.judge(np.array([weights[f].sum() for f in lists]))
+    plain = np.array([chances(weights, raw, f) for f in lists])
+    assert np.allclose(grade, plain @ np.arange(grading.GRADES)) and np.allclose(top, plain[:, -1])
+
+    for name, value in {"MIN_ROWS": 0, "MIN_DEVIATIONS": 0, "EPOCHS": 1, "BATCH": 1000}.items():
+        monkeypatch.setattr(grading, name, value)
+    learnt = grading._learn(model, grades, lists, 0)
+
+    def slope(of, x):
+        return np.array([(of(x + e) - of(x - e)) / 2e-5 for e in np.eye(len(x)) * 1e-5])
+
+    by_weight, by_threshold = slope(lambda w: loss(w, raw), weights), slope(lambda t: loss(weights, t), raw)
+    by_weight[12:] = 0
+    assert np.allclose(learnt.weights, weights - grading.RATE * by_weight / np.sqrt(1e-2 + by_weight**2), atol=1e-4)
+    assert np.allclose(learnt.thresholds, raw - grading.RATE * by_threshold / np.sqrt(1e-2 + by_threshold**2), atol=1e-4)
+
+
 def bag(text):
     words = WORDS.findall((text or "").lower())
     n = min(5, len(words))
