@@ -7,7 +7,7 @@ SUPPORT_SHARE = 0.06
 TOP_RULES = 5
 TOP_FRIENDS = 10
 # Limits at which vertices of the test tables count as hubs.
-LOW_BLOCK_ROWS, LOW_HUB_PAIRS = 8, 250
+LOW_BLOCK_ROWS, LOW_HUB_PAIRS = 24, 250
 # The users of the short friend report: every 19th part from 15 on, below 200, the parts of the smallest scale.
 REPORT_USERS = list(range(15, 200, 19))
 # The rows used as search queries.
