@@ -8,6 +8,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodeworks.operators.checkpoints import scratch_path, store
 from lodeworks.operators.skew import BLOCK_ROWS, GroupSizes, broadcast_if_small, group_sizes, is_small, pairs_within
 
 COUNT_MODES = ("basket", "occurrence")
@@ -36,16 +37,16 @@ def frequent_items(
     return single.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_support)
 
 
-def _codes(items: DataFrame) -> DataFrame:
-    """`item, code`: short codes in item order, so that pairs shuffle as integers.
+def _codes(items: DataFrame) -> tuple[DataFrame, bool]:
+    """`item, code`, and whether they are few: short codes in item order, so that pairs shuffle as integers.
 
     The codes are numbered in one task and broadcast, which the row limit of
     `is_small` bounds. A larger item list stands for itself.
     """
     known = items.select(F.col("a").alias("item")).persist()
     if is_small(known):
-        return F.broadcast(known.withColumn("code", F.row_number().over(Window.orderBy("item"))))
-    return known.withColumn("code", F.col("item"))
+        return F.broadcast(known.withColumn("code", F.row_number().over(Window.orderBy("item")))), True
+    return known.withColumn("code", F.col("item")), False
 
 
 def _kept(baskets: DataFrame, codes: DataFrame, basket: str, item: str) -> DataFrame:
@@ -54,6 +55,58 @@ def _kept(baskets: DataFrame, codes: DataFrame, basket: str, item: str) -> DataF
     return rows.join(codes, "item").select("basket_id", "code")
 
 
+def _later(column: str, at: str) -> Column:
+    """The part of an array behind position `at`."""
+    return F.slice(column, F.col(at) + 2, F.size(column))
+
+
+def _listed(kept: DataFrame, few: bool, count: str, block_rows: int) -> DataFrame | None:
+    """`codes`, with `times` if occurrences count: each basket's items in order, gathered by one shuffle and stored.
+
+    From such a row its pairs and larger sets are made without another shuffle. None if the items
+    are many or a basket holds more than `block_rows` of them: the sets of such a basket are for many tasks.
+    """
+    if not few:
+        return None
+    if count == "basket":
+        lists = kept.repartition("basket_id").groupBy("basket_id").agg(F.sort_array(F.collect_set("code")).alias("codes"))
+        lists = lists.select("codes")
+    else:
+        entries = _entries(kept, "basket_id", "code", count).groupBy("basket_id").agg(
+            F.sort_array(F.collect_list(F.struct("item", "c"))).alias("e")
+        )
+        lists = entries.select(F.col("e.item").alias("codes"), F.col("e.c").alias("times"))
+    lists = store(lists, scratch_path(kept.sparkSession, "baskets"))
+    longest = lists.agg(F.max(F.size("codes"))).first()[0] or 0
+    return lists if longest <= block_rows else None
+
+
+def _listed_pairs(lists: DataFrame, min_support: int, count: str) -> DataFrame:
+    """`a, b, n` as of `_coded_pairs`."""
+    if count == "basket":
+        first = lists.select("codes", F.posexplode("codes").alias("_p", "a"))
+        totals = first.select("a", F.explode(_later("codes", "_p")).alias("b")).groupBy("a", "b").agg(F.count(F.lit(1)).alias("n"))
+    else:
+        first = lists.select("codes", "times", F.posexplode("codes").alias("_p", "a"))
+        first = first.select("a", F.col("times")[F.col("_p")].alias("_c"), _later("codes", "_p").alias("_codes"), _later("times", "_p").alias("_times"))
+        across = first.select("a", "_c", "_times", F.posexplode("_codes").alias("_q", "b")).select(
+            "a", "b", (F.col("_c") * F.col("_times")[F.col("_q")]).alias("k")
+        )
+        itself = first.where(F.col("_c") > 1).select("a", F.col("a").alias("b"), F.expr("_c * (_c - 1) div 2").alias("k"))
+        totals = across.unionByName(itself).groupBy("a", "b").agg(F.sum("k").alias("n"))
+    return totals.where(F.col("n") >= min_support)
+
+
+def _listed_triples(lists: DataFrame, known: DataFrame) -> DataFrame:
+    """`a, b, c`, once for each basket: the triples whose three pairs are known."""
+    first = lists.select("codes", F.posexplode("codes").alias("_p", "a")).select("a", _later("codes", "_p").alias("_rest"))
+    second = first.select("a", "_rest", F.posexplode("_rest").alias("_q", "b")).join(known, ["a", "b"], "left_semi")
+    grown = second.select("a", "b", F.explode(_later("_rest", "_q")).alias("c"))
+    for other in ("a", "b"):
+        grown = grown.join(known.select(F.col("a").alias(other), F.col("b").alias("c")), [other, "c"], "left_semi")
+    return grown
+
+
 def _recode(sets: DataFrame, codes: DataFrame, columns: list[str], source: str, target: str) -> DataFrame:
     """The same rows with `columns` changed from `source` to `target` (item, code)."""
     for column in columns:
@@ -99,10 +152,13 @@ def frequent_pairs(
     """
     if items is None:
         items = frequent_items(baskets, min_support, count, basket, item)
-    codes = _codes(items)
+    codes, few = _codes(items)
     kept = _kept(baskets, codes, basket, item)
-    sizes = group_sizes(kept, ["basket_id"], block_rows)
-    pairs = _coded_pairs(kept, sizes, min_support, count, block_rows)
+    lists = _listed(kept, few, count, block_rows)
+    if lists is not None:
+        pairs = _listed_pairs(lists, min_support, count)
+    else:
+        pairs = _coded_pairs(kept, group_sizes(kept, ["basket_id"], block_rows), min_support, count, block_rows)
     return _recode(pairs, codes, ["a", "b"], "code", "item")
 
 
@@ -131,14 +187,20 @@ def frequent_triples(
     """
     if items is None:
         items = frequent_items(baskets, min_support, count, basket, item)
-    codes = _codes(items)
+    codes, few = _codes(items)
     kept = _kept(baskets, codes, basket, item)
-    sizes = group_sizes(kept, ["basket_id"], block_rows)
-    if pairs is None:
-        known = _coded_pairs(kept, sizes, min_support, count, block_rows)
-    else:
+    lists = _listed(kept, few, count if pairs is None else "basket", block_rows)
+    sizes = group_sizes(kept, ["basket_id"], block_rows) if lists is None else None
+    if pairs is not None:
         known = _recode(pairs, codes, ["a", "b"], "item", "code")
+    elif lists is not None:
+        known = _listed_pairs(lists, min_support, count)
+    else:
+        known = _coded_pairs(kept, sizes, min_support, count, block_rows)
     known = broadcast_if_small(known.select("a", "b"))
+    if lists is not None:
+        totals = _listed_triples(lists, known).groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
+        return _recode(totals.where(F.col("n") >= min_support), codes, ["a", "b", "c"], "code", "item")
     held = pairs_within(kept, ["basket_id"], "code", sizes, block_rows=block_rows, repeats=True).join(
         known, ["a", "b"], "left_semi"
     )
@@ -167,20 +229,31 @@ def frequent_itemsets(
     item and keeps the sets whose (k-1)-subsets are all frequent.
     """
     singles = frequent_items(baskets, min_support, "basket", basket, item)
-    codes = _codes(singles)
+    codes, few = _codes(singles)
     found = singles.select(F.array("a").alias("items"), "n")
-    held = _kept(baskets, codes, basket, item).withColumnRenamed("code", "i1")
-    sizes = group_sizes(held, ["basket_id"], block_rows)
+    kept = _kept(baskets, codes, basket, item)
+    lists = _listed(kept, few, "basket", block_rows) if max_k > 1 else None
+    if lists is None:
+        held = kept.withColumnRenamed("code", "i1")
+        sizes = group_sizes(held, ["basket_id"], block_rows)
+    else:
+        held = lists.select("codes", F.posexplode("codes").alias("_p", "i1")).select("i1", _later("codes", "_p").alias("rest"))
     level: DataFrame | None = None
     for k in range(2, max_k + 1):
         stem = [f"i{j}" for j in range(1, k - 1)]
         names = [f"i{j}" for j in range(1, k + 1)]
-        here = sizes if k == 2 else _stem_sizes(held, stem, sizes, block_rows)
-        grown = pairs_within(
-            held, ["basket_id", *stem], f"i{k - 1}", here, block_rows=block_rows, repeats=k == 2
-        ).select("basket_id", *stem, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}"))
-        # The two parents lack one of the last two items; check the others.
-        for gone in range(k - 2):
+        if lists is None:
+            here = sizes if k == 2 else _stem_sizes(held, stem, sizes, block_rows)
+            grown = pairs_within(
+                held, ["basket_id", *stem], f"i{k - 1}", here, block_rows=block_rows, repeats=k == 2
+            ).select("basket_id", *stem, F.col("a").alias(f"i{k - 1}"), F.col("b").alias(f"i{k}"))
+        else:
+            # A set and what stands behind it in its basket grow by one item of the rest.
+            grown = held.select(*names[:-1], "rest", F.posexplode("rest").alias("_p", names[-1])).select(
+                *names, _later("rest", "_p").alias("rest")
+            )
+        # One parent lacks the last item, and with a shuffle another the one before; check the others.
+        for gone in range(k - 2 if lists is None or k == 2 else k - 1):
             subset = names[:gone] + names[gone + 1 :]
             known = level.select(*[F.col(f"i{j + 1}").alias(name) for j, name in enumerate(subset)])
             grown = grown.join(known, subset, "left_semi")
