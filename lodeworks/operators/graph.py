@@ -17,6 +17,7 @@ from lodeworks.operators.skew import (
     group_sizes,
     is_small,
     pairs_within,
+    partitioned,
 )
 
 # A vertex whose list makes more pairs than this is a hub. The limit decides about time, not about rows.
@@ -34,6 +35,8 @@ def _adjacency(edges: DataFrame, src: str, dst: str) -> DataFrame:
 
 def _counts(lists: DataFrame, sizes: GroupSizes, block_rows: int) -> DataFrame:
     wedges = pairs_within(lists, ["src"], "dst", sizes, block_rows=block_rows, repeats=True)
+    # As many parts as the pairs ask for: most pairs meet once or twice, so nearly all are groups.
+    wedges = partitioned(wedges.select("a", "b"), ["a", "b"], sizes.pairs)
     return wedges.groupBy(F.col("a").alias("u"), F.col("b").alias("v")).agg(F.count(F.lit(1)).alias("n"))
 
 
