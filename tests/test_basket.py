@@ -130,3 +130,13 @@ def test_hot_baskets_are_broadcast_only_below_the_limit(held, monkeypatch, limit
     basket._stem_sizes(held, ["item"], baskets, 2)
     plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert ("strategy=broadcast" in plan) == (limit == 10)
+
+
+@pytest.mark.parametrize("count", basket.COUNT_MODES)
+def test_sets_are_made_without_a_shuffle_by_basket(held, count, monkeypatch):
+    """Once the baskets are gathered, no later step brings their rows together again."""
+    for step in ("pairs_within", "group_sizes"):
+        monkeypatch.setattr(basket, step, lambda *_, **__: pytest.fail("the baskets are shuffled again"))
+    _, f2, f3 = brute(3, count)
+    assert rows(basket.frequent_pairs(held, 3, count)) == as_rows(f2)
+    assert rows(basket.frequent_triples(held, 3, count)) == as_rows(f3)

@@ -134,3 +134,13 @@ def test_hub_choice(spark):
     assert hubs(5, 100) == [0, 1]
     assert hubs(5, 200) == [0]
     assert hubs(50, 200) is None
+
+
+def test_wedges_are_counted_in_as_many_parts_as_they_need(spark, monkeypatch):
+    from lodeworks.operators import skew
+
+    monkeypatch.setattr(skew, "ROWS_PER_PARTITION", 2)
+    edges = spark.createDataFrame([(s, d) for s in range(6) for d in range(6)], "src bigint, dst bigint")
+    counts = graph.mutual_friend_counts(edges)
+    assert "RepartitionByExpression [a" in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["n"] for r in counts.collect()} == {4}
