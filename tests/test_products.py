@@ -35,3 +35,17 @@ def test_many_items_make_sums_inside_tasks(spark, monkeypatch):
     plain = cf.cf_top_n(cf.cf_scores_item(seen), 2, seen=seen)
     assert got == {(r["user"], r["rank"]): (r["item"], r["score"]) for r in plain.collect()}
     assert left[1].count() < 12 * 4
+
+
+def test_a_side_with_few_cells_has_wide_blocks(spark, monkeypatch):
+    """Cells are sent once for each block of the other side, so the side with many cells meets few blocks."""
+    monkeypatch.setattr(products, "WIDTH", 4)
+    draw = np.random.default_rng(3)
+    A, B = np.eye(16)[draw.integers(0, 16, 48)], draw.integers(1, 3, (16, 16))
+    blocks, made = [], products._blocks
+    monkeypatch.setattr(products, "_blocks", lambda *args: blocks.append(made(*args)) or blocks[-1])
+    sums = {(r["a"], r["b"]): r["s"] for r in products.products(table(spark, A), table(spark, B)).collect()}
+    want = A @ B.T
+    assert sums == pytest.approx({(int(i), int(j)): float(want[i, j]) for i, j in zip(*np.nonzero(want))})
+    left, right = (b.select("block").distinct().count() for b in blocks)
+    assert 48 * right + 256 * left < 48 * 4 + 256 * 12
