@@ -10,7 +10,8 @@ probability of exactly their similarity. Times are drawn only up to a bound by w
 every component has a point; the few texts that have one without are drawn again, further.
 
 1. One pass makes, for each text, a key of its words and band hashes. Texts of the same words
-   are one node, a number.
+   are one node, a number. Texts are not stored: a row is found again by its place in its Parquet file
+   (rows from elsewhere, or that share a place, are copied first).
 2. A bucket is the nodes with one band hash. Buckets of the same nodes are one, by their number and two sums
    of hashes, 128 bits. Only nodes that share a bucket have their texts read again, for their shingles.
 3. A bucket is dealt into blocks by hash, of BLOCK nodes and BLOCK_BYTES of shingles at most, about.
@@ -41,10 +42,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lodeworks.llm.byte_words import Words, mixed, runs_at, words_of
-from lodeworks.llm.common import Scratch, scratch_path, sliced, small, table
+from lodeworks.llm.common import Scratch, numbered, sliced, small, table
 from lodeworks.llm.common import keep as kept
 from lodeworks.llm.components import components
 
@@ -136,16 +136,16 @@ def _keys(words: Words, texts: int) -> list[bytes | None]:
     return [both[i].tobytes() if lengths[i] else None for i in range(texts)]
 
 
-def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`_doc, _text, _row, _key, _n, _bands`, stored; `_doc` has the other columns of `docs`."""
+def _placed(docs: DataFrame, text: str = "text") -> DataFrame:
+    """`_doc, _text, _row`; `_doc` has the other columns of `docs`, and `_row` is the same in every scan."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != text]
-    rows = docs.select(
-        (F.struct(*others) if others else F.lit(0)).alias("_doc"),
-        F.col(f"`{text}`").alias("_text"),
-        F.monotonically_increasing_id().alias("_row"),
-    )
-    kinds = {"_key": "binary", "_n": "bigint", "_bands": "array<bigint>"}
-    schema = T.StructType([*rows.schema, *[T.StructField(c, T._parse_datatype_string(k)) for c, k in kinds.items()]])
+    rows = docs.select((F.struct(*others) if others else F.lit(0)).alias("_doc"), F.col(f"`{text}`").alias("_text"))
+    return numbered(rows, "near-docs")
+
+
+def sketched(rows: DataFrame, keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
+    """`_row, _key, _n, _bands` of `_row, _text`, stored; texts are not."""
+    schema = "_row bigint, _key binary, _n bigint, _bands array<bigint>"
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "_text"):
@@ -156,16 +156,17 @@ def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
             bands = np.stack([runs_at(row, np.arange(0, SIZE, ROWS), ROWS) for row in times])
             bands = mixed(bands + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
             keys = _keys(words, n)
-            new = [
-                pa.array(keys, pa.binary()),
-                pa.array(np.bincount(owner, count, n).astype(np.int64)),
-                pa.array([b if k else None for b, k in zip(bands, keys)], pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *new], schema.names)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch["_row"],
+                    pa.array(keys, pa.binary()),
+                    pa.array(np.bincount(owner, count, n).astype(np.int64)),
+                    pa.array([b if k else None for b, k in zip(bands, keys)], pa.list_(pa.int64())),
+                ],
+                ["_row", "_key", "_n", "_bands"],
+            )
 
-    path = scratch_path(docs.sparkSession, "sketches")
-    rows.mapInArrow(scan, schema).write.option("compression", "zstd").parquet(path)
-    return docs.sparkSession.read.schema(schema).parquet(path)
+    return keep(rows.select("_row", "_text").mapInArrow(scan, schema), "sketches")
 
 
 def elements(words: Words, texts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -287,8 +288,10 @@ def _across(members: DataFrame) -> DataFrame:
     return rows.where("least(_l0, _l1) < greatest(_h0, _h1)").select("_bucket", "_lo", "_hi", "node", "label")
 
 
-def classes(stored: DataFrame, threshold: float = THRESHOLD, keep: Callable[[DataFrame, str], DataFrame] = kept) -> DataFrame:
-    """`_key, _class` for the keys of what `sketched` gives: the least node of each component."""
+def classes(
+    stored: DataFrame, texts: DataFrame, threshold: float = THRESHOLD, keep: Callable[[DataFrame, str], DataFrame] = kept
+) -> DataFrame:
+    """`_key, _class` for the keys of what `sketched` gives for `texts`: the least node of each component."""
     nodes = keep(
         stored.where(F.col("_key").isNotNull()).groupBy("_key").agg(
             F.min("_row").alias("node"), F.first("_n").alias("_n"), F.first("_bands").alias("_bands")
@@ -318,7 +321,7 @@ def classes(stored: DataFrame, threshold: float = THRESHOLD, keep: Callable[[Dat
         mine = F.pmod(F.xxhash64("node", "_bucket"), F.col("_blocks")).cast("int")
         members = keep(placed.join(small(buckets), "_bucket").select("_bucket", "_blocks", "node", "label", mine.alias("_mine")), "members")
         candidates = small(members.select(F.col("node").alias("_row")).distinct())
-        bags = keep(_bags(stored.select("_row", "_text").join(candidates, "_row")), "bags")
+        bags = keep(_bags(texts.select("_row", "_text").join(candidates, "_row")), "bags")
         add(members.select("_bucket", F.col("_mine").alias("_lo"), F.col("_mine").alias("_hi"), "node", "label"))
         # Buckets of several blocks that still have several components.
         apart = keep(_across(labelled(members.where("_blocks > 1").drop("label"))), "across")
@@ -328,12 +331,16 @@ def classes(stored: DataFrame, threshold: float = THRESHOLD, keep: Callable[[Dat
 
 
 def _classed(docs: DataFrame, text: str) -> tuple[DataFrame, DataFrame]:
-    """What `sketched` gives, and `_row, _class` of its rows; those without words have no class."""
-    stored, scratch = sketched(docs, text), Scratch(docs.sparkSession)
-    found = classes(stored, keep=scratch.keep)
+    """What `_placed` gives, and `_row, _class` of its rows; those without words have no class."""
+    rows, scratch = _placed(docs, text), Scratch(docs.sparkSession)
+    stored = sketched(rows, scratch.keep)
+    if stored.count() > stored.select("_row").distinct().count():  # joined or exploded since they were read
+        rows = kept(rows.withColumn("_row", F.monotonically_increasing_id()), "near-docs")
+        stored = sketched(rows, scratch.keep)
+    found = classes(stored, rows, keep=scratch.keep)
     named = kept(stored.select("_row", "_key").join(found, "_key", "left").select("_row", "_class"), "classes")
     scratch.clear()
-    return stored, named
+    return rows, named
 
 
 def _back(docs: DataFrame, text: str) -> list[Column]:
@@ -344,26 +351,26 @@ def _back(docs: DataFrame, text: str) -> list[Column]:
 def grouped(docs: DataFrame, text: str = "text") -> DataFrame:
     """`docs` with `_class`, a number for each group; rows without words have none."""
     docs = docs.drop("_class")
-    stored, named = _classed(docs, text)
-    return stored.join(named, "_row").select(*_back(docs, text), "_class")
+    placed, named = _classed(docs, text)
+    return placed.join(named, "_row").select(*_back(docs, text), "_class")
 
 
 def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row of each group, that with the least doc_id; NULL is the largest."""
-    stored, named = _classed(docs, text)
-    rows = named.where(F.col("_class").isNotNull()).join(stored.select("_row", F.col("_doc").getField(doc_id).alias("_id")), "_row")
+    placed, named = _classed(docs, text)
+    rows = named.where(F.col("_class").isNotNull()).join(placed.select("_row", F.col("_doc").getField(doc_id).alias("_id")), "_row")
     best = rows.groupBy("_class").agg(
         F.count(F.lit(1)).alias("_of"), F.min(F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_row"))).alias("_best")
     )
     best = best.where("_of > 1").select("_class", F.col("_best._row").alias("_kept"))
     gone = kept(rows.join(best, "_class").where("_row <> _kept").select("_row"), "copies")
-    return stored.join(small(gone), "_row", "left_anti").select(_back(docs, text))
+    return placed.join(small(gone), "_row", "left_anti").select(_back(docs, text))
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    stored, named = _classed(docs, "text")
-    ids = stored.select("_row", F.col("_doc.doc_id").alias("doc_id"))
+    placed, named = _classed(docs, "text")
+    ids = placed.select("_row", F.col("_doc.doc_id").alias("doc_id"))
     rows = kept(ids.join(named, "_row").select("doc_id", F.coalesce("_class", -1 - F.col("_row")).alias("_class")), "near-groups")
     sizes = rows.groupBy("_class").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_docs"))
     return rows.join(sizes, "_class").select("doc_id", "class_id", "class_docs")

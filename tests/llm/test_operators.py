@@ -318,6 +318,26 @@ def test_a_hot_bucket_in_blocks_loses_no_link(spark, monkeypatch, block):
     assert kept.columns == docs.columns and kept.count() == len(set(expected)) and kept.where("_class <> 'x' or _row <> 'y'").count() == 0
 
 
+def test_near_duplicates_of_files_are_not_copied(spark, tmp_path):
+    texts = [*group_of_copies(30), "", None, "a b", "a b"]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id bigint, text string, _metadata string")
+    docs.drop("_metadata").repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs.write.parquet(f"{tmp_path}/named")
+    read = spark.read.parquet(f"{tmp_path}/docs")
+    # Of a joined table rows may share a place in a file.
+    twice = read.join(spark.createDataFrame([(i % 34, f"{i // 34}") for i in range(68)], "doc_id bigint, time string"), "doc_id")
+    classes = plain_classes(texts)
+    least = {c: min(i for i, x in enumerate(classes) if x == c) for c in classes}
+    expected = sorted([i for i, t in enumerate(texts) if not t or least[classes[i]] == i])
+    for given in (docs, read, spark.read.parquet(f"{tmp_path}/named"), twice):
+        kept = near_dedup.deduplicated(given)
+        times = 2 if given is twice else 1
+        assert kept.columns == given.columns
+        assert sorted(r["doc_id"] for r in kept.collect()) == sorted([i for i in expected for _ in range(1 if texts[i] else times)])
+        if given is read:
+            assert not any("sketches" in f or "near-docs" in f for f in kept.inputFiles())
+
+
 def test_a_hot_bucket_makes_few_links(spark):
     texts = spark.createDataFrame([(i, t) for i, t in enumerate(group_of_copies(2000, 60))], "_row bigint, _text string")
     rows = near_dedup._bags(texts).selectExpr("1 as _bucket", "node % 4 as _lo", "node % 4 as _hi", "node", "bag", "node as label")
