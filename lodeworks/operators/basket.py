@@ -266,6 +266,21 @@ def frequent_itemsets(
     return found
 
 
+def _conditional(lists: DataFrame, pairs: DataFrame) -> DataFrame:
+    """`items`: for each item of a basket that has frequent partners behind it, those partners, marked with the item.
+
+    A set without its first item is in as many of these rows as the set is in baskets. Items that
+    make no frequent pair are gone, so that most rows are alike.
+    """
+    partners = pairs.groupBy("a").agg(F.collect_list("b").alias("_partners"))
+    partners = F.broadcast(partners) if is_small(pairs) else partners
+    first = lists.select("codes", F.posexplode("codes").alias("_p", "a")).select("a", _later("codes", "_p").alias("_rest"))
+    met = first.join(partners, "a").select("a", F.array_intersect("_rest", "_partners").alias("_met"))
+    return met.where(F.size("_met") > 0).select(
+        F.transform("_met", lambda b: F.shiftleft(F.col("a").cast("bigint"), 32) + b).alias("items")
+    )
+
+
 def frequent_itemsets_fp(
     baskets: DataFrame,
     min_support: int,
@@ -275,29 +290,40 @@ def frequent_itemsets_fp(
 ) -> DataFrame:
     """The same `items, n` from the built-in FPGrowth.
 
-    Items without support go first, so a basket's array is never longer than
-    the list of frequent items. FPGrowth takes a share of the baskets, so the
-    count is turned into one and tested again afterwards.
+    FPGrowth spends its time on projecting trees of baskets that differ in nearly all their items, so it gets the
+    baskets as `_conditional` cuts them, by rare items first: its trees hold a path per set of partners. Items without
+    support go before, so a basket's array is never longer than the list of frequent items, which FPGrowth
+    holds in the driver. It takes a share of its rows, so the count is turned into one and tested again afterwards.
     """
-    items = broadcast_if_small(
-        frequent_items(baskets, min_support, "basket", basket, item).select(F.col("a").alias("item"))
-    )
-    rows = baskets.select(F.col(basket).alias("basket_id"), F.col(item).alias("item"))
-    arrays = (
-        rows.join(items, "item", "left_semi")
-        .groupBy("basket_id")
-        .agg(F.collect_set("item").alias("items"))
-        .persist()
+    spark = baskets.sparkSession
+    singles = frequent_items(baskets, min_support, "basket", basket, item).where(F.col("a").isNotNull())
+    codes = broadcast_if_small(
+        singles.select(F.col("a").alias("item"), "n", F.row_number().over(Window.orderBy("n", "a")).alias("code"))
     )
+    found = codes.select(F.array("item").alias("items"), "n").where(F.size("items") <= max_k)
+    if max_k < 2:
+        return found
+    kept = _kept(baskets, codes.select("item", "code"), basket, item)
+    lists = kept.groupBy("basket_id").agg(F.sort_array(F.collect_set("code")).alias("codes")).select("codes")
+    lists = store(lists, scratch_path(spark, "baskets"))
+    pairs = store(_listed_pairs(lists, min_support, "basket"), scratch_path(spark, "pairs"))
+    rows = _conditional(lists, pairs).persist()
     try:
-        size = arrays.count()
+        size = rows.count()
         share = min(1.0, max(0.0, (min_support - 0.5) / size)) if size else 1.0
-        model = FPGrowth(itemsCol="items", minSupport=share).fit(arrays)
-        return model.freqItemsets.where((F.size("items") <= max_k) & (F.col("freq") >= min_support)).select(
-            F.array_sort("items").alias("items"), F.col("freq").alias("n")
-        )
+        model = FPGrowth(itemsCol="items", minSupport=share).fit(rows)
+        grown = model.freqItemsets.where((F.size("items") < max_k) & (F.col("freq") >= min_support))
+        grown = store(grown, scratch_path(spark, "grown"))
     finally:
-        arrays.unpersist()
+        rows.unpersist()
+    first = F.shiftright(F.col("items")[0], 32)
+    members = F.concat(F.array(first), F.transform("items", lambda x: x.bitwiseAND(0xFFFFFFFF)))
+    named = grown.select("items", "freq", F.explode(members).alias("code")).join(codes.select("item", "code"), "code")
+    return found.unionByName(
+        named.groupBy("items", "freq").agg(F.array_sort(F.collect_list("item")).alias("_set")).select(
+            F.col("_set").alias("items"), F.col("freq").alias("n")
+        )
+    )
 
 
 def rules_1to1(items: DataFrame, pairs: DataFrame) -> DataFrame:

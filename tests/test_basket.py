@@ -3,6 +3,7 @@ from itertools import combinations
 
 import pytest
 from conftest import rows
+from pyspark.sql import functions as F
 
 from lodeworks.operators import basket
 
@@ -89,6 +90,44 @@ def test_growth_agrees_with_levels(held):
     assert sets(basket.frequent_itemsets_fp(held, 3)) == sets(basket.frequent_itemsets(held, 3))
 
 
+@pytest.mark.parametrize("max_k", [1, 2, 5])
+@pytest.mark.parametrize("support", [0, 1, 3, 40])
+def test_growth_of_any_size(spark, support, max_k):
+    """Sets, repeats, a basket without an id and items without a name."""
+    lines = [(n, item) for n, line in enumerate(BASKETS) for item in line.split()]
+    lines += [(None, "a"), (None, "b"), (None, "x"), (3, None), (4, None), (5, None), (None, None)]
+    held = spark.createDataFrame(lines, "basket_id bigint, item string")
+    sets = [{i for b, i in lines if b == n and i} for n in {b for b, _ in lines}]
+    items = sorted(set().union(*sets))
+    counts = {c: sum(set(c) <= s for s in sets) for k in range(1, max_k + 1) for c in combinations(items, k)}
+    found = [(tuple(r["items"]), r["n"]) for r in basket.frequent_itemsets_fp(held, support, max_k).collect()]
+    assert sorted(found) == sorted((c, n) for c, n in counts.items() if n and n >= support)
+
+
+def test_growth_of_no_baskets(held):
+    assert basket.frequent_itemsets_fp(held.limit(0), 1).collect() == []
+
+
+def test_growth_sees_few_different_rows(spark, monkeypatch):
+    """Baskets that all differ, as items that meet rarely make them, reach FPGrowth as few different rows."""
+    seen = []
+
+    class Watched(basket.FPGrowth):
+        def fit(self, rows):
+            seen.append((rows.distinct().count(), rows.select(F.max(F.size("items"))).first()[0]))
+            return super().fit(rows)
+
+    monkeypatch.setattr(basket, "FPGrowth", Watched)
+    lists = [{f"c{n % 2}", "d", *(f"r{(n * n * k + k * 7) % 53:02}" for k in range(1, 7))} for n in range(120)]
+    assert len({frozenset(x) for x in lists}) > 50
+    held = spark.createDataFrame([(n, i) for n, x in enumerate(lists) for i in sorted(x)], "basket_id bigint, item string")
+    found = {tuple(r["items"]): r["n"] for r in basket.frequent_itemsets_fp(held, 20).collect()}
+    items = sorted(set().union(*lists))
+    counts = {c: sum(set(c) <= x for x in lists) for k in (1, 2, 3) for c in combinations(items, k)}
+    assert found == {c: n for c, n in counts.items() if n >= 20}
+    assert seen[0][0] < 20 and seen[0][1] <= 3
+
+
 def test_rules(held):
     f1, f2, f3 = brute(3, "basket")
     items, pairs = basket.frequent_items(held, 3), basket.frequent_pairs(held, 3)
