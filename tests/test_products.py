@@ -49,3 +49,17 @@ def test_a_side_with_few_cells_has_wide_blocks(spark, monkeypatch):
     assert sums == pytest.approx({(int(i), int(j)): float(want[i, j]) for i, j in zip(*np.nonzero(want))})
     left, right = (b.select("block").distinct().count() for b in blocks)
     assert 48 * right + 256 * left < 48 * 4 + 256 * 12
+
+
+def test_a_table_by_itself_is_packed_once_and_without_ids(spark, monkeypatch):
+    """A cell is its place in the block and its weight; the ids of a block are sent once."""
+    packed, made = [], products._packed
+    monkeypatch.setattr(products, "_packed", lambda *args: packed.append(made(*args)) or packed[-1])
+    monkeypatch.setattr(products, "WIDTH", 3)
+    A = np.random.default_rng(4).integers(0, 3, (10, 6))
+    cells = table(spark, A, 2**40)
+    sums = {(r["a"] - 2**40, r["b"] - 2**40): r["s"] for r in products.products(cells, cells, symmetric=True).collect()}
+    want = np.triu(A @ A.T)
+    assert sums == pytest.approx({(int(i), int(j)): float(want[i, j]) for i, j in zip(*np.nonzero(want))})
+    assert len(packed) == 1
+    assert dict(packed[0].dtypes) == {"block": "bigint", "at": "bigint", "places": "array<smallint>", "ws": "array<double>"}
